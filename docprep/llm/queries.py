@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import neardup
+from docprep.llm import neardup, pairs
 from docprep.llm.oracle import ORACLE  # noqa: F401
 from docprep.session import table, tune
 
@@ -29,7 +29,12 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "qa_id")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.broken_pairs(table(tune(spark), sf_dir, "qa_rows"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
+    "p3_found": p3_found,
 }

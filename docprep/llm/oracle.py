@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from docprep.llm import lookalike as _l
+
 #: Shingle sets joined on each shared sequence: exact, and independent of any sketch.
 _QA_PAIRS = """
 WITH RECURSIVE words AS (
@@ -17,7 +21,23 @@ WITH RECURSIVE words AS (
   SELECT qa_id_a, qa_id_b, k = na AND k = nb AS same FROM common WHERE k >= 0.6 * (na + nb - k)
 )
 """
+
+
+def _class(*ranges: str) -> str:
+    """A character class for RE2."""
+    return "[" + re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", "".join(ranges)) + "]"
+
+
+_POSERS = "".join(map(chr, _l.POSING))
+_P4_CASE = f"""(
+  regexp_matches(t, '{_class(_l.FULL_WIDTH, _l.LIGATURES, _l.UNIT_SIGNS, _l.ACCENTS, _l.SPACES, _l.UNSEEN, _l.UNSEEN_HIGH)}')
+  OR len(list_filter(regexp_extract_all(t, '\\p{{L}}+'), lambda w: regexp_matches(w, '[{_POSERS}]')
+    AND regexp_full_match(w, '{_class(_l.LATIN, _POSERS)}+') AND NOT regexp_full_match(w, '[\\x{{370}}-\\x{{3ff}}]'))) > 0
+)"""
 ORACLE = {
+    "p4_found": f"""SELECT DISTINCT tab, doc_id, pos FROM (
+  SELECT 'elements' AS tab, doc_id, pos, Text AS t FROM elements UNION ALL SELECT 'chunks_data', doc_id, chunk_no, text_chunk FROM chunks_data
+) WHERE {_P4_CASE}""",
     "p2_found": _QA_PAIRS + "SELECT qa_id_a, qa_id_b FROM pair",
     "p2_groups": _QA_PAIRS
     + """, node AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import neardup, pairs
+from docprep.llm import lookalike, neardup, pairs
 from docprep.llm.oracle import ORACLE  # noqa: F401
 from docprep.session import table, tune
 
@@ -33,8 +33,26 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.broken_pairs(table(tune(spark), sf_dir, "qa_rows"))
 
 
+def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of elements and chunks_data in its consistent form."""
+    tune(spark)
+    elements = table(spark, sf_dir, "elements").select(F.lit("elements").alias("tab"), "doc_id", "pos", F.col("Text").alias("text"))
+    chunks = table(spark, sf_dir, "chunks_data").select(F.lit("chunks_data").alias("tab"), "doc_id", F.col("chunk_no").alias("pos"), F.col("text_chunk").alias("text"))
+    return lookalike.consistent_form(elements.unionByName(chunks), "text", ["tab", "doc_id", "pos"])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forms(spark, sf_dir).where("is_case").select("tab", "doc_id", "pos").distinct()
+
+
+def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forms(spark, sf_dir).select("tab", "doc_id", "pos", "form")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_forms": p4_forms,
 }

@@ -35,6 +35,8 @@ _P4_CASE = f"""(
     AND regexp_full_match(w, '{_class(_l.LATIN, _POSERS)}+') AND NOT regexp_full_match(w, '[\\x{{370}}-\\x{{3ff}}]'))) > 0
 )"""
 ORACLE = {
+    "p5_found": """SELECT DISTINCT 'chunks_data' AS tab, doc_id, chunk_no AS pos FROM chunks_data WHERE length(text_chunk) > 3000
+UNION ALL SELECT DISTINCT 'text_chunks', doc_id, text_id FROM text_chunks WHERE length(Text) > 3000""",
     "p4_found": f"""SELECT DISTINCT tab, doc_id, pos FROM (
   SELECT 'elements' AS tab, doc_id, pos, Text AS t FROM elements UNION ALL SELECT 'chunks_data', doc_id, chunk_no, text_chunk FROM chunks_data
 ) WHERE {_P4_CASE}""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import lookalike, neardup, pairs
+from docprep.llm import lookalike, neardup, pairs, pieces
 from docprep.llm.oracle import ORACLE  # noqa: F401
 from docprep.session import table, tune
 
@@ -49,10 +49,28 @@ def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forms(spark, sf_dir).select("tab", "doc_id", "pos", "form")
 
 
+#: Limit and overlap of the pieces of chunks, in code points.
+PIECE_LIMIT, PIECE_OVERLAP = 3000, 100
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    chunks = table(spark, sf_dir, "chunks_data").select(F.lit("chunks_data").alias("tab"), "doc_id", F.col("chunk_no").alias("pos"), "section_name", F.col("text_chunk").alias("text"))
+    texts = table(spark, sf_dir, "text_chunks").select(F.lit("text_chunks").alias("tab"), "doc_id", F.col("text_id").alias("pos"), F.lit(None).cast("string").alias("section_name"), F.col("Text").alias("text"))
+    return pieces.split_texts(chunks.unionByName(texts), "text", ["tab", "doc_id", "pos"], ("section_name",), PIECE_LIMIT, PIECE_OVERLAP)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that come out in more than one piece."""
+    return p5_pieces(spark, sf_dir).where("piece_no = 1").select("tab", "doc_id", "pos").distinct()
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_forms": p4_forms,
+    "p5_found": p5_found,
+    "p5_pieces": p5_pieces,
 }

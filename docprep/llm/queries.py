@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import lookalike, neardup, pairs, pieces
+from docprep.llm import lookalike, mixing, neardup, packing, pairs, pieces
 from docprep.llm.oracle import ORACLE  # noqa: F401
+from docprep.llm.tokens import with_token_counts
 from docprep.session import table, tune
 
 #: Sequence length, similarity and least number of sequences of the rewritten QA rows.
@@ -65,6 +66,28 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_pieces(spark, sf_dir).where("piece_no = 1").select("tab", "doc_id", "pos").distinct()
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = with_token_counts(table(tune(spark), sf_dir, "documents"), "text", ["doc_id"])
+    return packing.pack(sizes, "doc_id", "n_tokens", table(spark, sf_dir, "container_specs"))
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_rates(p6_containers(spark, sf_dir), table(spark, sf_dir, "container_specs"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sizes = with_token_counts(table(tune(spark), sf_dir, "documents"), "text", ["doc_id", "source"])
+    return mixing.mix(sizes, "doc_id", "source", "n_tokens", table(spark, sf_dir, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1]
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
@@ -73,4 +96,8 @@ QUERIES = {
     "p4_forms": p4_forms,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
+    "p6_containers": p6_containers,
+    "p6_fill": p6_fill,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
 }

@@ -53,9 +53,12 @@ _FOLDABLE = re.compile(f"[{FULL_WIDTH}{LIGATURES}{SPACES}]")
 
 
 def suspect_pattern() -> str:
-    """A Java pattern of the characters without which a text is its own consistent form."""
+    """A Java pattern of the characters without which a text is its own consistent form.
+
+    The look-ahead passes over ordinary ASCII before the long class is tried.
+    """
     posers = "".join(map(chr, POSING))
-    return f"[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}{UNSEEN}{UNSEEN_HIGH}{SINGLETONS}{posers}]"
+    return rf"(?=[^\t-\r -~])[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}{UNSEEN}{UNSEEN_HIGH}{SINGLETONS}{posers}]"
 
 
 def _part_of_picture(text: str, at: int) -> bool:

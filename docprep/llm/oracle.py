@@ -34,7 +34,17 @@ _P4_CASE = f"""(
   OR len(list_filter(regexp_extract_all(t, '\\p{{L}}+'), lambda w: regexp_matches(w, '[{_POSERS}]')
     AND regexp_full_match(w, '{_class(_l.LATIN, _POSERS)}+') AND NOT regexp_full_match(w, '[\\x{{370}}-\\x{{3ff}}]'))) > 0
 )"""
+_SPACE = r"[\t\n\x0b\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ORACLE = {
+    "p8_found": f"""WITH counted AS (
+  SELECT doc_id, length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g'))::DOUBLE AS letters,
+    len(list_filter(regexp_split_to_array(text, '{_SPACE}+'), lambda x: regexp_matches(x, '[A-Za-z0-9]')))::DOUBLE AS words,
+    greatest(1, len(regexp_extract_all(text, '[.!?]+({_SPACE}|$)')))::DOUBLE AS ends
+  FROM documents WHERE lower(lang) LIKE 'en%'
+), graded AS (
+  SELECT doc_id, 4.71::DOUBLE * letters / words + 0.5::DOUBLE * words / ends - 21.43::DOUBLE AS g FROM counted WHERE words > 0
+)
+SELECT doc_id, CASE WHEN g < 8 THEN 'plain' WHEN g < 18 THEN 'standard' ELSE 'expert' END AS band FROM graded""",
     "p5_found": """SELECT DISTINCT 'chunks_data' AS tab, doc_id, chunk_no AS pos FROM chunks_data WHERE length(text_chunk) > 3000
 UNION ALL SELECT DISTINCT 'text_chunks', doc_id, text_id FROM text_chunks WHERE length(Text) > 3000""",
     "p4_found": f"""SELECT DISTINCT tab, doc_id, pos FROM (

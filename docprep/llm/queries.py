@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import lookalike, mixing, neardup, packing, pairs, pieces
+from docprep.llm import lookalike, mixing, neardup, packing, pairs, pieces, reading
 from docprep.llm.oracle import ORACLE  # noqa: F401
 from docprep.llm.tokens import with_token_counts
 from docprep.session import table, tune
@@ -88,6 +88,22 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(tune(spark), sf_dir, "documents")
+    model = reading.fit(*reading.labelled_sample(documents, table(spark, sf_dir, "reading_labels"), "doc_id", "text", "level"))
+    found = reading.reading_levels(documents, model, keep=("lang",))
+    return found.withColumn("band", F.when(F.col("n_words") > 0, reading.band(reading.grade(F.col("n_letters"), F.col("n_words"), F.col("n_ends")))))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The band of each English document, from the counts of its classified sentences."""
+    return _levels(spark, sf_dir).where("lower(lang) LIKE 'en%' AND n_words > 0").select("doc_id", "band")
+
+
+def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir).select("doc_id", "n_sentences", "n_words", "distribution", "difficulty", "band")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
@@ -100,4 +116,6 @@ QUERIES = {
     "p6_fill": p6_fill,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_levels": p8_levels,
 }

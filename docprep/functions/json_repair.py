@@ -26,7 +26,7 @@ def mended_again(text: Column) -> Column:
 
 
 def reply_objects(reply: Column) -> Column:
-    """The reply as a list of objects whose values are text; null where even the mended reply isn't one. '' gives null."""
+    """The reply as a list of objects whose values are text; null or empty where even the mended reply isn't one. '' gives null."""
     bare = strip_fence(reply)
     text = wrapped(bare)
     first = F.from_json(text, _MAPS, {"mode": "PERMISSIVE"})

@@ -114,6 +114,13 @@ def workbook(header: list[str], rows: list[list[object]]) -> bytes:
     return out.getvalue()
 
 
+def _cell(value: object) -> object:
+    """A value as pandas hands it over: arrays as lists, NaN as null."""
+    if getattr(value, "ndim", 0):
+        return value.tolist()
+    return None if value is None or value != value else value
+
+
 def workbooks(rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
     """(key, content): a workbook for each key, its rows in order; for sheets that people review, each within a task's memory."""
     kept = rows.select(key, *dict.fromkeys([*order, *columns]))
@@ -121,7 +128,7 @@ def workbooks(rows: DataFrame, key: str, order: list[str], columns: list[str]) -
 
     def build(pdf):
         ordered = pdf.sort_values(order, kind="stable")
-        body = [[None if v is None or v != v else list(v) if hasattr(v, "tolist") and not isinstance(v, str) and getattr(v, "ndim", 0) else v for v in r] for r in ordered[columns].itertuples(index=False)]
+        body = [[_cell(v) for v in r] for r in ordered[columns].itertuples(index=False)]
         return type(pdf)({key: [pdf[key].iloc[0]], "content": [workbook(columns, body)]})
 
     return kept.groupBy(key).applyInPandas(build, schema.add("content", "binary"))

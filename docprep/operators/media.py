@@ -87,7 +87,7 @@ def write_back(elements: DataFrame, sheet: DataFrame, match: str = "substring")
 
     An element with files and a row's object id takes that row's summary, null too; the last row counts. One without
     files whose path is among a row's specific paths gets ''. With match='substring' a path that is part of a listed
-    path, or of the list written as text, is among them; with 'exact' only an equal one.
+    path is among them, with 'exact' only an equal one. Paths begin with //.
     """
     rows = sheet.select("doc_id", "object_id_file", "summary", "specific_paths", "ord")
     summary = rows.groupBy("doc_id", F.col("object_id_file").alias("ObjectID")).agg(F.max_by(F.struct(F.col("summary").alias("s")), "ord").alias("new"))
@@ -96,10 +96,10 @@ def write_back(elements: DataFrame, sheet: DataFrame, match: str = "substring")
         emptied = listed.select("doc_id", F.col("listed").alias("Path"))
     else:
         bare = elements.where(F.col("filePaths").isNull()).select("doc_id", "Path").distinct()
-        # a path is part of a listed one only if that one's end or a piece of it equals the path: all starts are at a slash
-        starts = F.transform(F.sequence(F.lit(1), F.length("listed")), lambda i: F.substring("listed", i, F.length("listed")))
-        pieces = listed.select("doc_id", F.explode(F.filter(starts, lambda s: s.startswith("//"))).alias("tail")).distinct()
-        pieces = pieces.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("tail")), lambda n: F.substring("tail", F.lit(1), n))).alias("Path")).distinct()
+        # paths begin with //, so what is part of a listed path is a start of its rest from some //
+        at = F.filter(F.sequence(F.lit(1), F.length("listed")), lambda i: F.substring("listed", i, F.lit(2)) == "//")
+        tails = listed.select("doc_id", F.explode(F.transform(at, lambda i: F.substring("listed", i, F.length("listed")))).alias("tail")).distinct()
+        pieces = tails.select("doc_id", F.explode(F.transform(F.sequence(F.lit(2), F.length("tail")), lambda n: F.substring("tail", F.lit(1), n))).alias("Path")).distinct()
         emptied = bare.join(pieces, ["doc_id", "Path"], "left_semi")
     emptied = emptied.distinct().withColumn("_empty", F.lit(True))
     joined = elements.join(summary, ["doc_id", "ObjectID"], "left").join(emptied, ["doc_id", "Path"], "left")

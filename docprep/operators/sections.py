@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docprep.functions.text import SIGNS, replace_all
-from docprep.profiles import GENERIC, PROFILES, Profile
+from docprep.functions.text import SIGNS, replace_all, strip
+from docprep.profiles import GENERIC, PROFILES, Profile, media_class
 
 #: Positions in one block of a document.
 BLOCK = 20_000
@@ -36,7 +36,8 @@ def running_sums(rows: DataFrame, document: str, position: str, flags: dict[str,
     numbered = rows.withColumn("_block", F.floor(F.col(position) / block))
     inner = Window.partitionBy(document, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     within = numbered.select("*", *(F.sum(flag.cast("int")).over(inner).alias(f"_in_{name}") for name, flag in flags.items()))
-    totals = numbered.groupBy(document, "_block").agg(*(F.sum(flag.cast("int")).alias(f"_all_{name}") for name, flag in flags.items()))
+    # a block's totals are its last running sums: the same shuffle serves both, and what comes before it runs once
+    totals = within.groupBy(document, "_block").agg(*(F.max(f"_in_{name}").alias(f"_all_{name}") for name in flags))
     before = Window.partitionBy(document).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col(document).alias("_d"), F.col("_block").alias("_b"), *(F.coalesce(F.sum(f"_all_{name}").over(before), F.lit(0)).alias(f"_off_{name}") for name in flags))
     joined = within.join(offsets, F.col(document).eqNullSafe(F.col("_d")) & F.col("_block").eqNullSafe(F.col("_b")))
@@ -60,7 +61,9 @@ def classify(elements: DataFrame, profile: str | None = None, profiles: dict[str
     """
     path, text = F.col("Path"), F.col("Text")
     name = F.col(profile) if profile else None
-    marked = elements.withColumn("cls", _by_profile(name, profiles, lambda p: p.row_class(path, text)))
+    ready = elements.withColumn("_stripped", strip(text))  # once, as many rules ask for it
+    written = _by_profile(name, profiles, lambda p: p.row_class(path, text, F.col("_stripped")))
+    marked = ready.withColumn("cls", F.when(text.isNull(), media_class(path)).otherwise(written)).drop("_stripped")
     marked = marked.withColumn("is_title", F.coalesce(text.isNotNull() & _by_profile(name, profiles, lambda p: p.is_title(path)), F.lit(False)))
     cls = F.coalesce(F.col("cls"), F.lit(""))
     flags = {

@@ -16,7 +16,7 @@ from docprep.operators import metrics, qa
 from docprep.operators import sections as S
 from docprep.plans.pipeline import chunk_documents, classified
 from docprep.profiles import ACE, HEALTIERSG, NUMBERING
-from docprep.session import table, tune
+from docprep.session import cut, table, tune
 from docprep.sources.files import unprocessed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(*_tables(spark, sf_dir, "elements", "guidelines"))
 
 
+def _classified_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classified elements checkpointed, for queries that join what comes of them."""
+    return cut(_classified(spark, sf_dir))
+
+
 def latest_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     (elements,) = _tables(spark, sf_dir, "elements")
     return S.latest_delivery(elements).select("doc_id", "pos", "Path", "Text", "ObjectID")
@@ -59,25 +64,25 @@ def media_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _classified(spark, sf_dir)
+    rows = _classified_once(spark, sf_dir)
     whole = C.section_texts(S.text_chunks(rows), S.sections(rows))
     lists = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("text_id", "pages")}
     return whole.withColumns(lists)
 
 
 def exception_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _classified(spark, sf_dir)
+    rows = _classified_once(spark, sf_dir)
     return C.exception_chunks(S.text_chunks(rows), S.sections(rows))
 
 
 def section_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _classified(spark, sf_dir)
+    rows = _classified_once(spark, sf_dir)
     sheet = C.chunk_sheet(C.section_texts(S.text_chunks(rows), S.sections(rows)), S.titles(rows))
     return sheet.select("doc_id", "section_id", "section_name", "text_chunk", "Title")
 
 
 def final_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_documents(*_tables(spark, sf_dir, "elements", "guidelines"))["final_chunks"]
+    return chunk_documents(*_tables(spark, sf_dir, "elements", "guidelines"), reuse=True)["final_chunks"]
 
 
 def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ class Header:
     text_not: tuple[str, ...] = ()
     stops: bool = True
 
-    def holds(self, path: Column, text: Column) -> Column:
+    def holds(self, path: Column, text: Column, stripped: Column) -> Column:
         tests = [F.lit(True)]
         if self.path_has:
             tests.append(path.contains(self.path_has))
@@ -39,9 +39,9 @@ class Header:
             tests.append(text.startswith(self.text_starts))
         tests += [text.contains(t) for t in self.text_has]
         if self.text_is:
-            tests.append(strip(text).isin(*self.text_is))
+            tests.append(stripped.isin(*self.text_is))
         if self.text_not:
-            tests.append(~strip(text).isin(*self.text_not))
+            tests.append(~stripped.isin(*self.text_not))
         return reduce(lambda a, b: a & b, tests)
 
 
@@ -67,27 +67,31 @@ class Profile:
     def is_title(self, path: Column) -> Column:
         return path == self.title_is if self.title_is else path.contains(self.title_has) if self.title_has else F.lit(False)
 
-    def row_class(self, path: Column, text: Column) -> Column:
-        """TITLE, STOP, KEEP, HEADER, TEXT for rows with a text; TABLE, FIGURE or null for the others. The first that holds counts."""
-        stops = (strip(text) == self.stop) if self.stop else F.lit(False)
+    def row_class(self, path: Column, text: Column, stripped: Column) -> Column:
+        """TITLE, STOP, KEEP, HEADER or TEXT of a row with a text; the first that holds counts. `stripped` is the text without white space around."""
+        stops = (stripped == self.stop) if self.stop else F.lit(False)
         cases: list[tuple[Column, str | Column]] = []
         if self.title_only:
             cases.append((self.is_title(path), "TITLE"))
         if self.stop_anywhere:
             cases.append((stops, "STOP"))
         if self.keep:
-            cases.append((strip(text).isin(*self.keep), "KEEP"))
-        cases += [(h.holds(path, text) & stops, "STOP") for h in self.extra_stops]
-        cases += [(h.holds(path, text), "TEXT") for h in self.body]
+            cases.append((stripped.isin(*self.keep), "KEEP"))
+        cases += [(h.holds(path, text, stripped) & stops, "STOP") for h in self.extra_stops]
+        cases += [(h.holds(path, text, stripped), "TEXT") for h in self.body]
         for h in self.headers:
             if h.stops:
-                cases.append((h.holds(path, text) & stops, "STOP"))
-            cases.append((h.holds(path, text), "HEADER"))
+                cases.append((h.holds(path, text, stripped) & stops, "STOP"))
+            cases.append((h.holds(path, text, stripped), "HEADER"))
         written = F.lit("TEXT")
         for condition, name in reversed(cases):
             written = F.when(condition, F.lit(name)).otherwise(written)
-        media = F.when(path.rlike(r"^//Document/Table(?:\[\d+\])?$"), "TABLE").when(~path.contains("/Table") & path.rlike(r"^//Document/Figure(?:\[\d+\])?$"), "FIGURE")
-        return F.when(text.isNotNull(), written).otherwise(media)
+        return written
+
+
+def media_class(path: Column) -> Column:
+    """TABLE or FIGURE for the path of one at the top of the document, else null."""
+    return F.when(path.rlike(r"^//Document/Table(?:\[\d+\])?$"), "TABLE").when(~path.contains("/Table") & path.rlike(r"^//Document/Figure(?:\[\d+\])?$"), "FIGURE")
 
 
 #: Paths and texts of the four families of documents.

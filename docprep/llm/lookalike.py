@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docprep.session import cut
+
 #: Letters of other scripts and of phonetic notation over the Latin letters they look like.
 LOOKALIKES = (
     ("аеорсухіјѕԁһүԛԝѵӏҽ", "aeopcyxijsdhyqwvle"),  # Cyrillic
@@ -145,7 +147,8 @@ def consistent_form(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     named = rows.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col(text).cast("string").alias("t"))
     suspect = F.coalesce(F.col("t").rlike(suspect_pattern()), F.lit(False))
     ids = [f"k{i}" for i in range(len(keys))]
-    mapped = map_texts(named.where(suspect), "t").select(*ids, "is_case", "mapped", F.unhex(F.md5(F.encode("mapped", "utf-8"))).alias("m"))
+    # checkpointed, as the classes and the join both read it: the input is searched and mapped once
+    mapped = cut(map_texts(named.where(suspect), "t").select(*ids, "is_case", "mapped", F.unhex(F.md5(F.encode("mapped", "utf-8"))).alias("m")))
     classes = spark.sql(
         """
         WITH member AS (SELECT m, any_value(mapped) AS mapped FROM {mapped} GROUP BY m)

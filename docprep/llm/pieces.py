@@ -71,7 +71,7 @@ def _overlapped(text: str, end: int, overlap: int) -> int:
     """Where the piece after a cut begins: the first sentence or line, else word, within the overlap before the cut."""
     if not overlap or end <= 0:
         return end
-    found = list(boundaries(text, max(1, end - overlap), end))
+    found = [b for b in boundaries(text, max(1, end - overlap), end) if b[0] < end]  # the cut itself would be no overlap
     if not found:
         return _between_characters(text, max(0, end - overlap))
     return next((at for at, level in found if level >= SENTENCE), found[0][0])

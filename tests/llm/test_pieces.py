@@ -88,3 +88,10 @@ def test_overlap_must_fit():
 
     with pytest.raises(ValueError):
         _check(200, 150)
+
+
+def test_a_piece_overlaps_where_the_cut_is_the_only_strong_boundary():
+    text = "word " * 39 + "\n\n" + "More words here. " * 20
+    spans = cut_range(text, 0, len(text), True, True, 200, 20)
+    end = text.index("More")
+    assert spans[0][1] == end and 0 < end - spans[1][0] <= 20 and text[spans[1][0] :].startswith("word ")

@@ -45,6 +45,10 @@ UNSEEN_HIGH = "\U0001d173-\U0001d17a\U000e0001\U000e0020-\U000e007f\U000e0100-\U
 SINGLETONS = "̀́ʹ;·ά-ώι`´〈〉ᄀ-ᇿ豈-﫿"
 LATIN = "A-Za-zªºÀ-ÖØ-öø-ʯᴀ-ᶿḀ-ỿⱠ-ⱿꜢ-ꟿꬰ-ꭤ" + LIGATURES + "Ａ-Ｚａ-ｚ"
 
+#: Ranges of pictures, and signs that a selector shows as one.
+PICTURES = "\u2190-\u21ff\u2300-\u23ff\u24c2\u25a0-\u27bf\u2900-\u297f\u2b00-\u2bff\u3030\u303d\u3297\u3299\U0001f000-\U0001faff"
+SIGNS = "\u00a9\u00ae\u203c\u2049\u2122\u2139"
+_PICTURE, _SELECTOR = re.compile(f"[{PICTURES}]"), re.compile(f"[{SELECTORS}]")
 _PLAIN_CASE = re.compile(f"[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}]")
 _UNSEEN = re.compile(f"[{UNSEEN}{UNSEEN_HIGH}]")
 _POSER = re.compile("[" + "".join(map(chr, POSING)) + "]")
@@ -64,11 +68,20 @@ def suspect_pattern() -> str:
 
 
 def _part_of_picture(text: str, at: int) -> bool:
-    """A joiner, selector or tag that belongs to the picture before it."""
+    """A selector or tag that belongs to the picture before it, or a joiner between two pictures."""
     back = at - 1
     while back >= 0 and _UNSEEN.match(text[back]):
         back -= 1
-    return back >= 0 and unicodedata.category(text[back]) in ("So", "Sk") and text[at] not in "​‌⁠﻿­"
+    if back < 0:
+        return False
+    if _SELECTOR.match(text[at]):
+        return bool(_PICTURE.match(text[back])) or text[back] in SIGNS
+    if text[at] == JOINER:
+        after = at + 1
+        while after < len(text) and _UNSEEN.match(text[after]):
+            after += 1
+        return bool(_PICTURE.match(text[back])) and after < len(text) and bool(_PICTURE.match(text[after]))
+    return "\U000e0020" <= text[at] <= "\U000e007f" and bool(_PICTURE.match(text[back]))
 
 
 def _drop_unseen(text: str) -> str:

@@ -48,3 +48,8 @@ def test_the_suspect_pattern_reads_alike_in_java(spark):
     rows = [(t, True) for t in CASES] + [(t, False) for t in PLAIN if t == look_alike(t)[0] and not re.search(suspect_pattern(), t)]
     df = spark.createDataFrame(rows, "text string, wanted boolean")
     assert df.where(F.col("text").rlike(suspect_pattern()) != F.col("wanted")).count() == 0
+
+
+@pytest.mark.parametrize("text,form", [("38°\u200dC", "38°C"), ("x^\u200dy", "x^y"), ("™\u200ea", "™a"), ("\U0001f48a\u200d a", "\U0001f48a a")])
+def test_joiners_outside_pictures_print_nothing(text, form):
+    assert look_alike(text) == (form, True)

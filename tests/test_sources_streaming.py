@@ -90,3 +90,9 @@ def test_watermarked_streams(spark, folder):
     for name, df, mode in (("once", I.deduplicated(stream), "append"), ("arrived", I.arrivals(stream), "complete")):
         df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(folder / name)).trigger(availableNow=True).start().awaitTermination()
     assert spark.table("once").count() == 6 and spark.table("arrived").agg(F.sum("n_elements")).first()[0] == 6
+
+
+def test_arrivals_count_documents_exactly(spark):
+    rows = spark.range(10_000).select((F.col("id") % 5000).cast("string").alias("doc_id"), F.lit("2024-05-01 10:00:00").cast("timestamp").alias("arrived_at"))
+    exact, before = I.arrivals(rows).first(), rows.agg(F.approx_count_distinct("doc_id")).first()[0]
+    assert (exact.n_elements, exact.n_documents) == (10_000, 5000) and before != 5000

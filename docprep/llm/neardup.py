@@ -1,8 +1,8 @@
 """Near-duplicate records by ProbMinHash, banding and exact verification.
 
 Texts with the same set of shingles form a class and one of them stands for it, so copies cost nothing beyond
-one row. A class's sketch falls into buckets by bands; records meet in a self-join on (band, key), which AQE
-splits where a bucket is hot, and each met pair is verified on its full shingle sets. Nothing is capped.
+one row. A class's sketch falls into buckets by bands; classes meet in a self-join on the bucket, which AQE splits
+where one is hot, and those that meet twice are verified on their full shingle sets. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -16,35 +16,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docprep.llm.components import components
-from docprep.llm.sketch import band_keys, banding, prob_minhash, shingles
+from docprep.llm.sketch import band_keys, banding, character_shingles, prob_minhash, shingles, weighted_jaccard, weights
 from docprep.session import cut
 
 _SKETCH = "id bigint, class_key binary, n int, bands array<bigint>"
-_SETS = "id bigint, n int, shingles array<bigint>"
+_SETS = "id bigint, n int, shingles array<bigint>, weight array<double>"
 _BATCH = 500
+#: What a shingle is a run of.
+SHINGLERS = {"word": shingles, "character": character_shingles}
 
 
 def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), pa.array(values))
 
 
-def sketch(records: DataFrame, id: str, text: Column, words: int, threshold: float, least: int, weighting: str) -> DataFrame:
+def sketch(records: DataFrame, id: str, text: Column, words: int, threshold: float, least: int, weighting: str, unit: str = "word") -> DataFrame:
     """(id, class_key, n, bands) of the records with at least so many distinct shingles."""
     bands, rows = banding(threshold)
+    shingled = SHINGLERS[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(at, _BATCH)
-                owner, h, count = shingles(part.column(1).to_pylist(), words)
+                owner, h, count, first = shingled(part.column(1).to_pylist(), words)
                 n = np.bincount(owner, minlength=part.num_rows)
                 take = np.flatnonzero(n >= max(1, least))
                 inside = np.isin(owner, take)
-                owner, h, count = np.searchsorted(take, owner[inside]), h[inside], count[inside]
-                weight = count.astype(float) if weighting == "count" else np.ones(len(h))
+                owner, h, weight = np.searchsorted(take, owner[inside]), h[inside], weights(weighting, count[inside], first[inside])
                 keys = band_keys(prob_minhash(owner, h, weight, len(take), bands * rows), bands, rows)
                 ends = np.cumsum(n[take])
-                classes = [hashlib.blake2b(h[e - k : e].tobytes(), digest_size=16).digest() for e, k in zip(ends, n[take])]
+                told = h if weighting == "distinct" else np.stack((h, weight.view(np.uint64)), axis=1)
+                classes = [hashlib.blake2b(told[e - k : e].tobytes(), digest_size=16).digest() for e, k in zip(ends, n[take])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(take)), pa.array(classes, pa.binary()), pa.array(n[take], pa.int32()), _lists(keys.ravel(), np.full(len(take), bands))],
                     names=["id", "class_key", "n", "bands"],
@@ -53,47 +56,66 @@ def sketch(records: DataFrame, id: str, text: Column, words: int, threshold: flo
     return records.select(F.col(id).cast("bigint").alias("id"), text.cast("string").alias("text")).where("id is not null").mapInArrow(run, _SKETCH)
 
 
-def shingle_sets(records: DataFrame, id: str, text: Column, words: int) -> DataFrame:
-    """(id, n, shingles): the distinct shingles of each record, as hashes."""
+def shingle_sets(records: DataFrame, id: str, text: Column, words: int, weighting: str = "distinct", unit: str = "word") -> DataFrame:
+    """(id, n, shingles, weight): the distinct shingles of each record, as hashes in order; weight is null where all weigh the same."""
+    shingled = SHINGLERS[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, h, _ = shingles(batch.column(1).to_pylist(), words)
+            owner, h, count, first = shingled(batch.column(1).to_pylist(), words)
             n = np.bincount(owner, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), _lists(h.view(np.int64), n)], names=["id", "n", "shingles"])
+            weight = pa.nulls(batch.num_rows, pa.list_(pa.float64())) if weighting == "distinct" else _lists(weights(weighting, count, first), n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), _lists(h.view(np.int64), n), weight], names=["id", "n", "shingles", "weight"])
 
     return records.select(F.col(id).cast("bigint").alias("id"), text.cast("string").alias("text")).mapInArrow(run, _SETS)
 
 
+def verified(pairs: DataFrame, sets_a: DataFrame, sets_b: DataFrame, threshold: float, weighting: str) -> DataFrame:
+    """(a, b, similarity) of the pairs (a, b) whose sets are similar enough; a is looked up in the one table of sets, b in the other."""
+    with_a = pairs.join(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"), F.col("weight").alias("wa")), "a")
+    both = with_a.join(sets_b.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"), F.col("weight").alias("wb")), "b")
+    if weighting == "distinct":
+        shared = F.size(F.array_intersect("sa", "sb"))
+        counted = both.where(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b", shared.alias("common"), (F.col("na") + F.col("nb") - shared).alias("either"))
+        return counted.where(F.col("common") >= threshold * F.col("either")).select("a", "b", (F.col("common") / F.col("either")).alias("similarity"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[np.asarray(x.values) for x in batch.column(k)] for k in range(2, 6)]
+            found = pa.array([weighted_jaccard(*p) for p in zip(*sides)], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["a", "b", "similarity"])
+
+    return both.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(run, "a bigint, b bigint, similarity double").where(F.col("similarity") >= threshold)
+
+
+def meeting(one: DataFrame, two: DataFrame, where: str = "true") -> DataFrame:
+    """(a, b) that meet in two buckets at least; the one has (a, key), the other (b, key)."""
+    return one.join(two, "key").where(where).groupBy("a", "b").agg(F.count("*").alias("k")).where("k >= 2").select("a", "b")
+
+
 def near_duplicates(
-    records: DataFrame, id: str, text: Column, words: int = 5, threshold: float = 0.8, least: int = 1, weighting: str = "distinct"
+    records: DataFrame, id: str, text: Column, words: int = 5, threshold: float = 0.8, least: int = 1, weighting: str = "distinct", unit: str = "word"
 ) -> tuple[DataFrame, DataFrame]:
     """(links, members). links: (a, b, similarity) between representatives of classes, a < b; members: (id, class_id, n).
 
     A class holds the records with the same set of shingles; class_id is its least id. Similarity is Jaccard's over
-    distinct shingles. A pair at the threshold is missed with probability 1e-5, less above it; every met pair is
-    verified, none is capped. With weighting 'count' the sketch weighs a shingle by its occurrences. ids must be
-    unique; rows with a null id are left out, as nothing could name them. A null text counts as ''; texts with
+    distinct shingles, which are runs of `words` words, or of as many characters of any script with unit 'character'.
+    Pairs that meet in two bands are verified, none is capped; a pair at the threshold fails to meet twice with
+    probability 1e-4, far less above it. With weighting 'count' a shingle weighs by its occurrences, with 'opening' the
+    less the later it comes; similarity is then that of the shares of weight, and a class's weights are equal too. ids
+    must be unique; rows with a null id are left out, as nothing could name them. A null text counts as ''; texts with
     fewer shingles than `least` (at least one) take no part. Columns other than those named are not read. An empty
     table gives empty results.
     """
-    sketches = cut(sketch(records, id, text, words, threshold, least, weighting))
+    sketches = cut(sketch(records, id, text, words, threshold, least, weighting, unit))
     classes = sketches.groupBy("class_key").agg(F.min("id").alias("class_id"))
     members = sketches.join(classes, "class_key").select("id", "class_id", "n")
-    lead = sketches.groupBy("class_key").agg(F.min_by(F.struct("id", "n", "bands"), "id").alias("r")).select("r.id", "r.n", F.posexplode("r.bands").alias("band", "key"))
-    left = lead.select(F.col("id").alias("a"), F.col("n").alias("na"), "band", "key")
-    right = lead.select(F.col("id").alias("b"), F.col("n").alias("nb"), "band", "key")
-    met = left.join(right, ["band", "key"]).where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
-    pairs = cut(met.select("a", "b").distinct())
+    lead = sketches.groupBy("class_key").agg(F.min_by(F.struct("id", "bands"), "id").alias("r")).select("r.id", F.explode("r.bands").alias("key"))
+    pairs = cut(meeting(lead.toDF("a", "key"), lead.toDF("b", "key"), "a < b"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = records.select(F.col(id).cast("bigint").alias("id"), text.cast("string").alias("text")).join(wanted, "id", "left_semi")
-    sets = shingle_sets(texts, "id", F.col("text"), words)
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa")), "a")
-    both = with_a.join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    counted = both.select("a", "b", shared.alias("common"), (F.col("na") + F.col("nb") - shared).alias("either"))
-    links = counted.where(F.col("common") >= threshold * F.col("either")).select("a", "b", (F.col("common") / F.col("either")).alias("similarity"))
-    return cut(links), members
+    sets = shingle_sets(texts, "id", F.col("text"), words, weighting, unit)
+    return cut(verified(pairs, sets, sets, threshold, weighting)), members
 
 
 def member_pairs(links: DataFrame, members: DataFrame) -> DataFrame:

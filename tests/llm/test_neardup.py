@@ -64,7 +64,7 @@ def test_words_follow_the_definition():
 
 def test_sketch_estimates_probability_jaccard():
     texts = ["a b c d e f g h i j k l m n o p q r s t"] * 1 + ["a b c d e f g h i j k l m n o x y z u v"]
-    owner, h, _ = shingles(texts, 1)
+    owner, h, *_ = shingles(texts, 1)
     sig = prob_minhash(owner, h, np.ones(len(h)), 2, 4000)
     assert abs((sig[0] == sig[1]).mean() - 15 / 25) < 0.04
     weight = np.where(owner == 0, 1.0, 3.0)  # probability Jaccard doesn't depend on a text's total weight

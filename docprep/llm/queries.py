@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.llm import lookalike, mixing, neardup, packing, pairs, pieces, reading
+from docprep.llm import language, lookalike, mixing, neardup, packing, pairs, pieces, reading
 from docprep.llm.oracle import ORACLE  # noqa: F401
 from docprep.llm.tokens import with_token_counts
 from docprep.session import table, tune
@@ -31,7 +31,9 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.broken_pairs(table(tune(spark), sf_dir, "qa_rows"))
+    documents = table(tune(spark), sf_dir, "documents")
+    models = language.fit(*language.labelled_texts(documents, "doc_id", "text", "lang"))
+    return pairs.broken_pairs(table(spark, sf_dir, "qa_rows"), languages=models)
 
 
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -204,10 +204,10 @@ def reading_levels(documents: DataFrame, model: Model | None, id: str = "doc_id"
     plain = ["i", *(f"k{j}" for j in range(len(keep)))]
     named = documents.select(F.col(id).alias("i"), *(F.col(k).alias(f"k{j}") for j, k in enumerate(keep)), F.col(text).cast("string").alias("t"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema if f.name != "t")
-    context = documents.sparkSession.sparkContext.broadcast(model)  # a few hundred kB whatever the data's size
+    context = documents.sparkSession.sparkContext.broadcast(model and (model.chars, model.words, model.knots))  # a few hundred kB whatever the data's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = context.value
+        m = context.value and Model(*context.value)
         for batch in batches:
             texts = batch.column(len(plain)).to_pylist()
             at = 0

@@ -1,8 +1,9 @@
 """Filling containers of fixed capacity with items, by hierarchical residual packing.
 
 Each partition packs its own items best-fit in decreasing size and emits the containers that are nearly full. The
-others become items themselves: partitions are merged like a tree and packed again, round by round, until one is
-left or merging no longer helps. No task holds more than a block, and between rounds only underfull containers live.
+others become items themselves: partitions are merged like a tree and packed again, round by round, as long as a task
+gets a bounded number of them and merging helps. No task holds more than a block, and between rounds only underfull
+containers live.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from docprep.session import cut
 MOST_SPECS = 1000
 #: Items, or containers in a later round, that a task packs at once.
 BLOCK = 100_000
+#: Underfull containers that partitions are merged up to: later rounds never gather more in a task on average.
+MERGED = 20_000
+#: Bits of a container's number within its task and of the task's partition; the round takes those above.
+_NUMBER_BITS, _PARTITION_BITS = 30, 28
 _ITEM = pa.struct([("id", pa.int64()), ("piece_no", pa.int32()), ("start_token", pa.int64()), ("n_tokens", pa.int64())])
 _BIN = pa.schema([("spec_id", pa.int32()), ("container_id", pa.int64()), ("room", pa.int64()), ("done", pa.bool_()), ("items", pa.list_(_ITEM))])
 _BIN_SQL = "spec_id int, container_id bigint, room bigint, done boolean, items array<struct<id:bigint,piece_no:int,start_token:bigint,n_tokens:bigint>>"
@@ -59,6 +64,13 @@ def best_fit(sizes: list[int], capacity: int, gap: int) -> list[list[int]]:
     return bins
 
 
+def first_id(round_no: int, partition: int) -> int:
+    """The first container number of a task: no other task of any round shares one, as each counts below 2**30."""
+    if not 0 <= round_no < 1 << 63 - _NUMBER_BITS - _PARTITION_BITS or not 0 <= partition < 1 << _PARTITION_BITS:
+        raise ValueError(f"no container numbers for partition {partition} of round {round_no}")
+    return (round_no << _PARTITION_BITS | partition) << _NUMBER_BITS
+
+
 def _pieces(id: int | None, n: int, capacity: int) -> Iterator[tuple[dict, int]]:
     """(item, its size): the whole text, or the pieces of one that exceeds the capacity. An empty text needs one token's room."""
     for k, start in enumerate(range(0, max(n, 1), capacity)):
@@ -66,16 +78,18 @@ def _pieces(id: int | None, n: int, capacity: int) -> Iterator[tuple[dict, int]]
         yield {"id": id, "piece_no": k, "start_token": start, "n_tokens": size}, max(1, size)
 
 
-def _emit(found: Iterable[tuple[Spec, int, bool, list[dict]]], first_id: int) -> tuple[pa.RecordBatch, int]:
+def _emit(found: Iterable[tuple[Spec, int, bool, list[dict]]], next_id: int) -> tuple[pa.RecordBatch, int]:
     rows = list(found)
-    ids = range(first_id, first_id + len(rows))
+    ids = range(next_id, next_id + len(rows))
+    if ids.stop >> _NUMBER_BITS > next_id >> _NUMBER_BITS:
+        raise ValueError("a task made more containers than it has numbers")
     columns = ([s.id for s, *_ in rows], list(ids), [room for _, room, *_ in rows], [done for *_, done, _ in rows], [items for *_, items in rows])
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BIN)], schema=_BIN), ids.stop
 
 
 def _first_round(items: DataFrame, specs: list[Spec], nearly: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        next_id = TaskContext.get().partitionId() << 40
+        next_id = first_id(0, TaskContext.get().partitionId())
         held: list[tuple[int | None, int]] = []
 
         def pack() -> pa.RecordBatch:
@@ -103,7 +117,7 @@ def _first_round(items: DataFrame, specs: list[Spec], nearly: float) -> DataFram
 
 def _next_round(bins: DataFrame, specs: list[Spec], nearly: float, number: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        next_id = (number << 58) + (TaskContext.get().partitionId() << 40)
+        next_id = first_id(number, TaskContext.get().partitionId())
         held: list[tuple[int, int, list[dict]]] = []
 
         def pack() -> pa.RecordBatch:
@@ -129,6 +143,11 @@ def _next_round(bins: DataFrame, specs: list[Spec], nearly: float, number: int)
     return bins.mapInArrow(run, _BIN_SQL)
 
 
+def merged_partitions(parts: int, left: int, fan_in: int) -> int:
+    """How many partitions so many underfull containers are merged to: a fan-in fewer, but none of more than MERGED on average."""
+    return max(1, min(parts, max(parts // fan_in, -(-left // MERGED))))
+
+
 def read_specs(specs: DataFrame, spec_id: str, capacity: str, gap: str) -> list[Spec]:
     """The containers' specifications; few by nature, which is checked. Null ids and capacities below one are refused."""
     rows = specs.select(spec_id, capacity, gap).distinct().limit(MOST_SPECS + 1).collect()
@@ -146,7 +165,9 @@ def pack(items: DataFrame, id: str, size: str, specs: DataFrame, spec_id: str =
     Two items in a container are `gap` tokens apart. An item above the capacity is cut into full pieces and a rest;
     no other is cut. An item of null or no size takes one token's room, so that a container holds a bounded number.
     Null ids and repeated rows are packed like any other item. Other columns are not read; an empty table gives an
-    empty result. Rounds end when one partition is left or fewer than one in fifty underfull containers went away.
+    empty result. Rounds end when
+    partitions can't be merged any further (see merged_partitions) or fewer than one in fifty underfull containers went
+    away.
     """
     known = read_specs(specs, spec_id, capacity, gap)
     sized = cut(items.select(F.col(id).cast("bigint").alias("id"), F.col(size).cast("bigint").alias("size")))
@@ -154,9 +175,12 @@ def pack(items: DataFrame, id: str, size: str, specs: DataFrame, spec_id: str =
     finished = bins.where("done")
     open_bins, number = bins.where("not done"), 0
     parts, left = bins.rdd.getNumPartitions(), open_bins.count()
-    while left and (parts > 1 or number == 0):
-        number, parts = number + 1, max(1, parts // fan_in)
-        bins = cut(_next_round(open_bins.coalesce(parts), known, nearly, min(number, 15)))
+    while left:
+        merged = merged_partitions(parts, left, fan_in)
+        if merged == parts and number:
+            break
+        number, parts = number + 1, merged
+        bins = cut(_next_round(open_bins.coalesce(parts), known, nearly, number))
         finished = finished.unionByName(bins.where("done"))
         open_bins, before = bins.where("not done"), left
         left = open_bins.count()

@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docprep.llm.packing import best_fit, fill_rates, pack
+from docprep.llm import packing
+from docprep.llm.packing import best_fit, fill_rates, first_id, merged_partitions, pack
 from docprep.llm.tokens import encoding, with_token_counts
 
 SPECS = "spec_id int, capacity_tokens int, gap_tokens int"
@@ -79,3 +80,34 @@ def test_token_counts_are_those_of_the_vocabulary(spark):
     out = {r.id: r.n_tokens for r in with_token_counts(df, "text", ["id"]).collect()}
     e = encoding()
     assert out == {i: len(e.encode_ordinary(t or "")) for i, t in enumerate(texts)} and e.decode(e.encode_ordinary(texts[3])) == texts[3]
+
+
+def test_numbers_of_tasks_do_not_meet():
+    firsts = sorted(first_id(r, p) for r in range(32) for p in (0, 1, 2**18 - 1, 2**18, 2**18 + 1, 2**28 - 1))
+    assert all(b - a >= 2**30 for a, b in zip(firsts, firsts[1:])) and 0 <= firsts[0] and firsts[-1] + 2**30 <= 2**63
+    for bad in ((32, 0), (0, 2**28), (-1, 0)):
+        with pytest.raises(ValueError):
+            first_id(*bad)
+
+
+def test_merging_is_bounded():
+    parts, left, seen = 2**20, 10**10, []
+    while True:
+        merged = merged_partitions(parts, left, 8)
+        if merged == parts:
+            break
+        parts, left = merged, int(left * 0.9)
+        seen.append(left / parts)
+    assert max(seen) <= packing.MERGED and merged_partitions(8, 5, 8) == 1 and merged_partitions(1, 0, 8) == 1
+
+
+def test_later_rounds_stop_at_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MERGED", 10)
+    rng = random.Random(5)
+    items = spark.createDataFrame([(i, rng.randint(100, 300)) for i in range(3000)], "id bigint, n bigint").repartition(40)
+    packed = pack(items, "id", "n", spark.createDataFrame([(1, 512, 0)], SPECS)).collect()
+    assert sorted(r.id for r in packed) == list(range(3000))
+    loads = {}
+    for r in packed:
+        loads[r.container_id] = loads.get(r.container_id, 0) + r.n_tokens
+    assert max(loads.values()) <= 512

@@ -2,7 +2,8 @@
 
 Texts that may hold such characters are mapped to their look-alike form; the forms are grouped in SQL under the
 accent-sensitive Unicode collation, each class gets one deterministic member, and that is joined back. Texts
-without any such character are their own form and never leave their partition.
+without any such character are their own form and never leave their partition. Which letters look alike is not listed
+here: the confusables of the Unicode standard come from the ICU library that Spark ships for its collations.
 """
 
 from __future__ import annotations
@@ -10,26 +11,21 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docprep.session import cut
 
-#: Letters of other scripts and of phonetic notation over the Latin letters they look like.
-LOOKALIKES = (
-    ("аеорсухіјѕԁһүԛԝѵӏҽ", "aeopcyxijsdhyqwvle"),  # Cyrillic
-    ("АВЕКМНОРСТХУІЈЅԌԚԜѴҮ", "ABEKMHOPCTXYIJSGQWVY"),
-    ("αιονρυϲϳ", "aiovpucj"),  # Greek
-    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ", "ABEZHIKMNOPTYXC"),
-    ("սօհոցզյՍՕՏ", "uohngqjUOS"),  # Armenian
-    ("ɡɑɩɪʏʋᴄᴏᴜᴠᴡᴢ", "gaiiyucouvwz"),  # phonetic
-    ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏚᏞᏟᏢᏦᏙᏴᎥᎩ", "DRTAJEWMHGZSLCPKVBiy"),  # Cherokee
-    ("ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPdDTGKJCZFMNLSRVHWXYAEIOU"),  # Lisu
-)
-POSING = {ord(a): b for odd, plain in LOOKALIKES for a, b in zip(odd, plain, strict=True)}
+#: The ranges of letters that confusables are looked for in, phonetic notation but no orthography of Latin letters among them.
+_LETTER_RANGES = ((0x250, 0x2B0), (0x370, 0x1100), (0x1200, 0x1E00), (0x1F00, 0x2000), (0x2C80, 0x3000), (0xA4D0, 0xA700), (0xA720, 0xAC00), (0x10000, 0x12000), (0x16800, 0x17000))
+#: Letters whose skeleton is another letter than the Latin one they look like.
+ALSO = {ord("ӏ"): "l", ord("յ"): "j", ord("Ԛ"): "Q"}
+_SMALL_CAPITAL = re.compile("LATIN (?:LETTER SMALL CAPITAL ([A-Z])|SMALL LETTER KRA)$")
 _GREEK = re.compile("[Ͱ-Ͽ]")
 #: Ranges of characters, as the inside of a character class that Java and Python read alike.
 FULL_WIDTH = "！-～"
@@ -51,20 +47,103 @@ SIGNS = "\u00a9\u00ae\u203c\u2049\u2122\u2139"
 _PICTURE, _SELECTOR = re.compile(f"[{PICTURES}]"), re.compile(f"[{SELECTORS}]")
 _PLAIN_CASE = re.compile(f"[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}]")
 _UNSEEN = re.compile(f"[{UNSEEN}{UNSEEN_HIGH}]")
-_POSER = re.compile("[" + "".join(map(chr, POSING)) + "]")
 _LATIN = re.compile(f"[{LATIN}]")
 _FOLD = {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {ord(c): " " for c in "    　"} | {c: " " for c in range(0x2000, 0x200B)}
+#: Blocks of mathematical letters and letter-like signs, whose compatible letters replace them.
+STYLED = "ℂ℃℉ℊ-ℓℕℙ-ℝℤℨℬ-ℭℯ-ℱℳℴℹⅅ-ⅉ" + "\U0001d400-\U0001d7cb"
+_STYLED = re.compile(f"[{STYLED}]")
 _FOLD |= {c: unicodedata.normalize("NFKC", chr(c)) for a, b in ((0xFB00, 0xFB06), (0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3)) for c in range(a, b + 1)}
 _FOLDABLE = re.compile(f"[{FULL_WIDTH}{LIGATURES}{SPACES}]")
 
 
-def suspect_pattern() -> str:
-    """A Java pattern of the characters without which a text is its own consistent form.
+def confusables(spark: SparkSession) -> tuple[dict[int, str], dict[int, str]]:
+    """(posing, near): letters over the Latin letter they look like, by ICU's skeletons of all letters.
 
-    The look-ahead passes over ordinary ASCII before the long class is tried.
+    A letter poses if it belongs to another script that runs from left to right, or to phonetic notation, and its
+    skeleton is one ASCII letter; a capital whose skeleton is l stands for I. It is near if its skeleton, or itself, is
+    shaped like a small capital: such a letter poses only in a word that also holds a Latin one.
     """
-    posers = "".join(map(chr, POSING))
-    return rf"(?=[^\t-\r -~])[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}{UNSEEN}{UNSEEN_HIGH}{SINGLETONS}{posers}]"
+    letters = [c for first, last in _LETTER_RANGES for c in range(first, last) if unicodedata.category(chr(c))[0] == "L" and unicodedata.bidirectional(chr(c)) == "L"]
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    skeletons = checker.getSkeleton("\n".join(map(chr, letters))).split("\n")
+    posing, near = {}, {}
+    for c, skeleton in zip(letters, skeletons, strict=True):
+        name = unicodedata.name(chr(c), "")
+        if unicodedata.decomposition(chr(c)).startswith(("<font>", "<super>", "<sub>", "<wide>")):
+            continue  # styled forms are folded, raised ones stay
+        small = _SMALL_CAPITAL.match(unicodedata.name(skeleton, "")) if len(skeleton) == 1 else None
+        if len(skeleton) == 1 and skeleton.isascii() and skeleton.isalpha():
+            posing[c] = "I" if skeleton == "l" and ("CAPITAL" in name or name.startswith("LISU")) else skeleton
+        elif small:
+            near[c] = small.group(1).lower() if small.group(1) else "k"
+    return posing | ALSO, near
+
+
+@dataclass(frozen=True)
+class LookAlikes:
+    """The letters that pose as Latin ones, see confusables."""
+
+    posing: dict[int, str]
+    near: dict[int, str]
+
+    @property
+    def letters(self) -> str:
+        return "".join(map(chr, sorted(self.posing | self.near)))
+
+    @property
+    def suspect_pattern(self) -> str:
+        """A Java pattern of the characters without which a text is its own consistent form.
+
+        The look-ahead passes over ordinary ASCII before the long class is tried.
+        """
+        return rf"(?=[^\t-\r -~])[{FULL_WIDTH}{LIGATURES}{UNIT_SIGNS}{ACCENTS}{SPACES}{UNSEEN}{UNSEEN_HIGH}{SINGLETONS}{STYLED}{self.letters}]"
+
+    def look_alike(self, text: str) -> tuple[str, bool]:
+        """(the text mapped to plain characters, whether it holds a look-alike at all).
+
+        Full-width forms, ligatures, unit signs and special spaces become ordinary characters; characters that print
+        nothing go; accents join their letters where one character exists; posing letters become the Latin ones.
+        Mathematical letters become plain ones too, but aren't look-alikes.
+        """
+        seen = _drop_unseen(text) if _UNSEEN.search(text) else text
+        case = seen != text or bool(_PLAIN_CASE.search(text))
+        plain = _FOLDABLE.sub(lambda m: _FOLD[ord(m.group())], seen)
+        if _STYLED.search(plain):
+            plain = _STYLED.sub(lambda m: unicodedata.normalize("NFKC", m.group()), plain)
+        if not unicodedata.is_normalized("NFC", plain):
+            plain = unicodedata.normalize("NFC", plain)
+        if self._poser.search(plain):
+            shown = self._unmask(plain)
+            case |= shown != plain
+            plain = shown
+        return plain, case
+
+    @cached_property
+    def _poser(self) -> re.Pattern:
+        return re.compile(f"[{self.letters}]")
+
+    def _unmasked(self, word: str) -> str:
+        """A word without posing letters, if all its letters are Latin or pose as such; a lone Greek letter stays."""
+        if len(word) == 1 and _GREEK.match(word):
+            return word
+        latin = [bool(_LATIN.match(c)) and ord(c) not in self.posing and ord(c) not in self.near for c in word]
+        known = self.posing | self.near if any(latin) else self.posing
+        return word.translate(known) if all(a or ord(c) in known for a, c in zip(latin, word)) else word
+
+    def _unmask(self, text: str) -> str:
+        """The text with each posing word in Latin letters. Only words around a letter that can pose are looked at."""
+        out, last = [], 0
+        for m in self._poser.finditer(text):
+            if m.start() < last:
+                continue
+            start, end = m.start(), m.end()
+            while start > last and text[start - 1].isalpha():
+                start -= 1
+            while end < len(text) and text[end].isalpha():
+                end += 1
+            out += (text[last:start], self._unmasked(text[start:end]))
+            last = end
+        return "".join(out) + text[last:]
 
 
 def _part_of_picture(text: str, at: int) -> bool:
@@ -93,54 +172,14 @@ def _drop_unseen(text: str) -> str:
     return "".join(kept) + text[last:]
 
 
-def _unmasked(word: str) -> str:
-    """A word without posing letters, if all its letters are Latin or pose as such; a lone Greek letter stays."""
-    poses = all(ord(c) in POSING or _LATIN.match(c) for c in word) and not (len(word) == 1 and _GREEK.match(word))
-    return word.translate(POSING) if poses else word
-
-
-def _unmask(text: str) -> str:
-    """The text with each posing word in Latin letters. Only words around a letter that can pose are looked at."""
-    out, last = [], 0
-    for m in _POSER.finditer(text):
-        if m.start() < last:
-            continue
-        start, end = m.start(), m.end()
-        while start > last and text[start - 1].isalpha():
-            start -= 1
-        while end < len(text) and text[end].isalpha():
-            end += 1
-        out += (text[last:start], _unmasked(text[start:end]))
-        last = end
-    return "".join(out) + text[last:]
-
-
-def look_alike(text: str) -> tuple[str, bool]:
-    """(the text mapped to plain characters, whether it holds a look-alike at all).
-
-    Full-width forms, ligatures, unit signs and special spaces become ordinary characters; characters that print
-    nothing go; accents join their letters where one character exists; posing letters become the Latin ones.
-    """
-    seen = _drop_unseen(text) if _UNSEEN.search(text) else text
-    case = seen != text or bool(_PLAIN_CASE.search(text))
-    plain = _FOLDABLE.sub(lambda m: _FOLD[ord(m.group())], seen)
-    if not unicodedata.is_normalized("NFC", plain):
-        plain = unicodedata.normalize("NFC", plain)
-    if _POSER.search(plain):
-        shown = _unmask(plain)
-        case |= shown != plain
-        plain = shown
-    return plain, case
-
-
-def map_texts(rows: DataFrame, text: str) -> DataFrame:
+def map_texts(rows: DataFrame, text: str, known: LookAlikes) -> DataFrame:
     """The rows with (mapped, is_case) of their text, which must not be null."""
     schema = T.StructType([*rows.schema.fields, T.StructField("mapped", T.StringType()), T.StructField("is_case", T.BooleanType())])
     at = rows.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [look_alike(t) for t in batch.column(at).to_pylist()]
+            pairs = [known.look_alike(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([m for m, _ in pairs], pa.string()), pa.array([c for _, c in pairs], pa.bool_())], names=[*batch.schema.names, "mapped", "is_case"]
             )
@@ -157,11 +196,12 @@ def consistent_form(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     than those named are not read. An empty table gives an empty result.
     """
     spark = rows.sparkSession
+    known = LookAlikes(*confusables(spark))
     named = rows.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col(text).cast("string").alias("t"))
-    suspect = F.coalesce(F.col("t").rlike(suspect_pattern()), F.lit(False))
+    suspect = F.coalesce(F.col("t").rlike(known.suspect_pattern), F.lit(False))
     ids = [f"k{i}" for i in range(len(keys))]
     # checkpointed, as the classes and the join both read it: the input is searched and mapped once
-    mapped = cut(map_texts(named.where(suspect), "t").select(*ids, "is_case", "mapped", F.unhex(F.md5(F.encode("mapped", "utf-8"))).alias("m")))
+    mapped = cut(map_texts(named.where(suspect), "t", known).select(*ids, "is_case", "mapped", F.unhex(F.md5(F.encode("mapped", "utf-8"))).alias("m")))
     classes = spark.sql(
         """
         WITH member AS (SELECT m, any_value(mapped) AS mapped FROM {mapped} GROUP BY m)

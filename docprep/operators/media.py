@@ -49,15 +49,33 @@ def media_inventory(elements: DataFrame) -> DataFrame:
     )
 
 
+#: Characters at the end of a file name that rows meet by.
+_TAIL = 8
+
+
+def _tails(files: Column) -> Column:
+    """What the end of a name that is part of one of the files can be: all its pieces of _TAIL characters, and of less for shorter names."""
+    starts = lambda f, n: F.sequence(F.lit(1), F.length(f) - n + 1)
+    of = lambda f, n: F.when(F.length(f) >= n, F.transform(starts(f, n), lambda i: F.substring(f, i, F.lit(n))))
+    one = lambda f: F.flatten(F.filter(F.array(*(of(f, n) for n in range(1, _TAIL + 1))), lambda x: x.isNotNull()))
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(F.split(files, ", "), one))))
+
+
 def _matching_summaries(sheet: DataFrame, summaries: DataFrame, keys: list[str], name: str) -> DataFrame:
     """(keys, found): the summaries whose file name is part of one of the row's files, in their order.
 
-    A file name lies within one document, so rows meet by document first and the substring test is left for them.
+    Rows meet by document and the end of the name, an equality with the pieces of the files; the substring test is left
+    for them. So a document with a tenth of all files is no hot key and its files aren't all compared.
     """
     one_of = F.exists(F.split("files", ", "), lambda f: f.contains(F.col("_name")))
     named = summaries.select(F.col("doc_id"), F.col(name).alias("_name"), F.col("ord").alias("_ord"), F.col("summary").alias("_summary"))
-    met = sheet.select("doc_id", *keys, "files").join(named, "doc_id").where(one_of)
-    return met.groupBy("doc_id", *keys).agg(F.array_sort(F.collect_list(F.struct("_ord", "_name", "_summary"))).alias("found"))
+    named = named.groupBy("doc_id", "_name", "_ord", "_summary").agg(F.count("*").cast("int").alias("_times"))
+    ends = named.withColumn("_end", F.right("_name", F.lit(_TAIL)))
+    pieces = sheet.select("doc_id", *keys, "files").distinct().withColumn("_end", F.explode(_tails(F.col("files"))))
+    met = pieces.join(ends, ["doc_id", "_end"]).where(one_of)
+    each = F.struct("_ord", "_name", "_summary", "_times")
+    found = met.groupBy("doc_id", *keys).agg(F.array_sort(F.collect_list(each)).alias("found"))
+    return found.withColumn("found", F.flatten(F.transform("found", lambda x: F.array_repeat(x, x["_times"]))))
 
 
 def merge_summaries(sheet: DataFrame, summaries: DataFrame, keys: tuple[str, ...] = ("ord",), name: str = "file_name") -> DataFrame:
@@ -115,14 +133,25 @@ def table_prose(rows: DataFrame, key: list[str], order: str, columns: list[str])
     return numbered.select(*key, F.array_join(lines, "\n").alias("summary"))
 
 
+#: Most words of a vocabulary that is sent to every task; a larger one is joined.
+MOST_WORDS = 200_000
+
+
 def word_validity(texts: DataFrame, id: str, text: str, vocabulary: DataFrame, word: str = "word", threshold: float = 0.9) -> DataFrame:
     """(id, n_words, n_valid, is_gibberish): words of more than two characters, and those the vocabulary knows in lower case.
 
-    Gibberish is a text with fewer valid words than the threshold's share; one without words isn't.
+    Gibberish is a text with fewer valid words than the threshold's share; one without words isn't. A vocabulary of at
+    most MOST_WORDS words goes to the texts, whose words then are counted where they are; with a larger one each word of
+    a text is sent once to meet it. Null words are none; a null text has no words; repeated rows each come out.
     """
+    known = vocabulary.select(F.col(word).cast("string").alias("w")).where("w is not null").distinct().withColumn("valid", F.lit(1))
     words = texts.select(F.col(id).alias("id"), F.explode(F.filter(split_words(F.col(text)), lambda w: F.length(w) > 2)).alias("w"))
-    counted = words.groupBy("id", F.lower("w").alias("w")).agg(F.count("*").alias("n"))
-    known = vocabulary.select(F.col(word).alias("w")).distinct().withColumn("valid", F.lit(1))
-    sums = counted.join(known, "w", "left").groupBy("id").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * F.coalesce("valid", F.lit(0))).alias("n_valid"))
+    words = words.select("id", F.lower("w").alias("w"))
+    if known.limit(MOST_WORDS + 1).count() <= MOST_WORDS:
+        met = words.withColumn("n", F.lit(1)).join(F.broadcast(known), "w", "left")
+    else:
+        met = words.groupBy("id", "w").agg(F.count("*").alias("n")).join(known, "w", "left")
+    sums = met.groupBy("id").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * F.coalesce("valid", F.lit(0))).alias("n_valid"))
     joined = texts.select(F.col(id).alias("id")).join(sums, "id", "left").na.fill(0, ["n_words", "n_valid"])
+    # a repeated id sums over its rows
     return joined.select(F.col("id").alias(id), "n_words", "n_valid", (F.col("n_valid") < F.col("n_words") * F.lit(threshold)).alias("is_gibberish"))

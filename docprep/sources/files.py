@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docprep.functions.text import strip
+
 IMAGES = "*.{png,jpg,jpeg,gif,bmp,tif,tiff}"
 
 
@@ -21,6 +23,12 @@ def list_folders(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path).select("folder").distinct()
 
 
+def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """(word): the distinct words of text files with one a line, in lower case and without white space around; empty lines are none."""
+    word = F.lower(strip(F.col("value")))
+    return spark.read.text(path).select(word.alias("word")).where("word <> ''").distinct()
+
+
 def find_file(files: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The file of that name, in that folder if one is given; of several the first by path, of none no row."""
     found = files.where(F.col("name") == name)

@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_datasets(sets: dict[str, DataFrame], path: str, mode: str = "overwrite") -> dict[str, str]:
-    """Each named set as Parquet partitioned by document, in a folder of its name."""
+#: Folders that a data set is spread over by its documents, and the parts that each may be written in at once.
+BUCKETS, PARTS = 64, 8
+
+
+def bucket_of(document: Column, buckets: int = BUCKETS) -> Column:
+    """The bucket of a document: filter by it, too, to read one document from one folder."""
+    return F.pmod(F.xxhash64(document), F.lit(buckets)).cast("int")
+
+
+def write_datasets(sets: dict[str, DataFrame], path: str, mode: str = "overwrite", buckets: int = BUCKETS, parts: int = PARTS) -> dict[str, str]:
+    """Each named set as Parquet in a folder of its name, partitioned by `bucket`, a hash of doc_id.
+
+    The number of folders doesn't grow with the documents. Rows are salted by their content, so that a document with a
+    third of all rows is written by several tasks; within a file they are ordered by document.
+    """
     out = {}
     for name, df in sets.items():
         out[name] = f"{path.rstrip('/')}/{name}"
-        df.repartition("doc_id").write.mode(mode).partitionBy("doc_id").parquet(out[name])
+        salted = df.withColumn("bucket", bucket_of(F.col("doc_id"), buckets)).withColumn("_part", F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(parts)))
+        salted.repartition("bucket", "_part").sortWithinPartitions("bucket", "doc_id").drop("_part").write.mode(mode).partitionBy("bucket").parquet(out[name])
     return out
 
 
+def write_files(files: DataFrame, path: str, name: str = "name", content: str = "content") -> DataFrame:
+    """(name, size) of the files (name, content) written under the path by the workers that hold them; written when it is read.
+
+    The path is a folder or URI that all workers reach. A file is complete or not there: it is moved to its place, and
+    a task that runs again writes the same file again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            sizes = []
+            for n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                draft = f"{root}/.{n}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(draft) as f:
+                    f.write(data or b"")
+                fs.move(draft, f"{root}/{n}")
+                sizes.append(len(data or b""))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["name", "size"])
+
+    return files.select(F.col(name).cast("string").alias("name"), F.col(content).cast("binary").alias("content")).where("name is not null").mapInArrow(run, "name string, size bigint")
+
+
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; quotes are doubled, line ends kept; arrays and structs as JSON."""
     flat = rows.select(*(F.to_json(c).alias(c) if rows.schema[c].dataType.typeName() in ("array", "struct", "map") else F.col(c) for c in rows.columns))

@@ -19,7 +19,7 @@ BLOCK = 20_000
 
 
 def latest_delivery(elements: DataFrame, key: tuple[str, ...] = ("doc_id", "pos"), arrived: str = "arrived_at") -> DataFrame:
-    """One row for each key, of the last to arrive; of rows that arrived together the one least by its other columns."""
+    """One row for each key, of the last to arrive; of rows that arrived together one by a hash of its other columns, the same in every run."""
     others = [c for c in elements.columns if c not in (*key, arrived)]
     newest = F.max_by(F.struct(*(F.col(c) for c in (arrived, *others))), F.struct(F.coalesce(F.col(arrived), F.lit("0001-01-01").cast("timestamp")), -F.xxhash64(*others).cast("decimal(20,0)")))
     return elements.groupBy(*key).agg(newest.alias("r")).select(*key, "r.*").select(elements.columns)

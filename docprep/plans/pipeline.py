@@ -28,12 +28,13 @@ def classified(elements: DataFrame, guidelines: DataFrame | None = None) -> Data
     return S.classify(S.replace_signs(named), "profile" if guidelines is not None else None)
 
 
-def chunk_documents(elements: DataFrame, guidelines: DataFrame | None = None, size: int = SIZE, overlap: int = OVERLAP, reuse: bool = False) -> dict[str, DataFrame]:
+def chunk_documents(elements: DataFrame, guidelines: DataFrame | None = None, size: int = SIZE, overlap: int = OVERLAP, reuse: bool = False, rows: DataFrame | None = None) -> dict[str, DataFrame]:
     """The data sets of a chunking run by name, each with doc_id: titles, sections, text_chunks, tables, figures, exception_chunks, final_chunks.
 
-    With reuse the classified elements are checkpointed, for runs that write several of the sets.
+    With reuse the classified elements are checkpointed, for runs that write several of the sets. Elements that are
+    classified already can be handed in as rows.
     """
-    rows = classified(elements, guidelines)
+    rows = rows if rows is not None else classified(elements, guidelines)
     if reuse:
         rows = cut(rows)
     sections, texts, titles = S.sections(rows), S.text_chunks(rows), S.titles(rows)

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from docprep.functions import scores
 from docprep.functions.json_repair import reply_objects, statement_verdicts
+from docprep.functions.splitter import SIZE
 from docprep.functions.text import citation, speaks_of_source, split_words
 from docprep.operators import chunks as C
 from docprep.operators import media as M
 from docprep.operators import metrics, qa
 from docprep.operators import sections as S
 from docprep.plans.pipeline import chunk_documents, classified
-from docprep.profiles import ACE, HEALTIERSG, NUMBERING
+from docprep.profiles import Header, Profile
 from docprep.session import cut, table, tune
 from docprep.sources.files import unprocessed
 
@@ -75,6 +76,25 @@ def exception_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.exception_chunks(S.text_chunks(rows), S.sections(rows))
 
 
+#: A family of documents with headings that become sections and exceptions at once.
+HOUSE = Profile("house", title_has="/Title", stop="References", keep=("Key points", "Patient education", "Lifestyle advice"), headers=(Header(path_has="/H"),))
+
+
+def _house(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (elements,) = _tables(spark, sf_dir, "elements")
+    once = S.replace_signs(S.latest_delivery(elements)).withColumn("profile", F.lit(HOUSE.name))
+    return cut(S.classify(once, "profile", {HOUSE.name: HOUSE}))
+
+
+def kept_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.sections(_house(spark, sf_dir)).where("is_exception").select("doc_id", "section_id", "section_name", "page", "ObjectID")
+
+
+def kept_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _house(spark, sf_dir)
+    return C.exception_chunks(S.text_chunks(rows), S.sections(rows))
+
+
 def section_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _classified_once(spark, sf_dir)
     sheet = C.chunk_sheet(C.section_texts(S.text_chunks(rows), S.sections(rows)), S.titles(rows))
@@ -85,6 +105,26 @@ def final_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_documents(*_tables(spark, sf_dir, "elements", "guidelines"), reuse=True)["final_chunks"]
 
 
+def final_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each section's final chunks: its text where it is one, else that all keep the size and lie in it."""
+    rows = _classified_once(spark, sf_dir)
+    sets = chunk_documents(*_tables(spark, sf_dir, "elements", "guidelines"), rows=rows)
+    whole = C.section_texts(S.text_chunks(rows), S.sections(rows)).select("doc_id", "section_id", F.col("text_chunk").alias("whole"))
+    return _pieces_in(sets["final_chunks"].join(whole, ["doc_id", "section_id"]), ["doc_id", "section_id"])
+
+
+def split_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (chunks,) = _tables(spark, sf_dir, "chunks_data")
+    whole = chunks.where(F.col("text_chunk").isNotNull()).select("doc_id", "chunk_no", F.col("text_chunk").alias("whole")).distinct()
+    return _pieces_in(C.split_sections(whole.withColumn("text_chunk", F.col("whole"))), ["doc_id", "chunk_no"])
+
+
+def _pieces_in(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    size = F.length("text_chunk")
+    checked = pieces.groupBy(*keys).agg(F.max("whole").alias("whole"), F.count("*").alias("n"), F.max(size).alias("most"), F.bool_and(F.col("whole").contains(F.col("text_chunk"))).alias("lies_within"), F.min("text_chunk").alias("one"))
+    return checked.select(*keys, (F.length("whole") > SIZE).alias("was_cut"), F.when(F.length("whole") <= SIZE, F.when(F.col("n") == 1, F.col("one"))).alias("text"), (F.col("most") <= SIZE).alias("keeps_size"), "lies_within")
+
+
 def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     (chunks,) = _tables(spark, sf_dir, "chunks_data")
     return C.split_sections(chunks.where(F.col("text_chunk").isNotNull()).select("doc_id", "chunk_no", "text_chunk"))
@@ -204,8 +244,8 @@ def correctness_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, r = words("answer"), words("contexts")
     lists = F.struct(F.array_intersect(a, r).alias("TP"), F.array_except(a, r).alias("FP"), F.array_except(r, a).alias("FN"))
     fenced = F.concat(F.lit("```json\n"), F.to_json(lists), F.lit("\n```"))
-    one = F.array(F.lit(1.0), F.lit(0.0))
-    scored = metrics.answer_correctness(rows.withColumns({"reply": fenced, "truth_vector": one, "answer_vector": one}))
+    vector = lambda c: F.array(F.length(F.coalesce(F.col(c), F.lit(""))).cast("double"), F.lit(100.0))  # noqa: E731 - stands for an embedding
+    scored = metrics.answer_correctness(rows.withColumns({"reply": fenced, "truth_vector": vector("contexts"), "answer_vector": vector("answer")}))
     return scored.select("qa_id", _no_nan("statement_f1"), _no_nan("answer_correctness"))
 
 
@@ -242,7 +282,7 @@ def unprocessed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        latest_elements, section_assign, titles, sections, text_elements, media_elements, section_chunks, exception_chunks, section_sheet, final_chunks, split_chunks,
+        latest_elements, section_assign, titles, sections, text_elements, media_elements, section_chunks, exception_chunks, kept_sections, kept_chunks, section_sheet, final_chunks, final_checks, split_chunks, split_checks,
         signs_in_words, media_inventory, substring_merge, fallback_merge, conditional_update, row_prose, word_validity, usable_chunks, chunk_slice, qa_extract, citations,
         faithfulness_score, context_recall_score, context_precision_score, correctness_f1, answer_similarity, answer_relevancy, repaired_replies, unprocessed_documents,
     )
@@ -251,13 +291,15 @@ QUERIES: dict[str, Query] = {
 _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
-def _in(texts: tuple[str, ...]) -> str:
-    return "(" + ", ".join("'" + t.replace("'", "''") + "'" for t in texts) + ")"
-
-
+#: Texts of the families of documents, written out for the SQL.
+_ACE_NO_HEADER = """('Objective', 'Glycaemic control', 'Risk of adverse cardiorenal outcomes', 'Review parameters and frequency', 'Interdisciplinary care')"""
+_ACE_KEEP = """('Recommendation  1 Assess the patient’s glycaemic control and risk of adverse cardiorenal outcomes.', 'Lifestyle intervention: a cornerstone of successful T2DM management', 'Insulin and T2DM', 'Patient involvement and education', 'Patient-centred care and shared decision-making', 'Recommendation 5: Adopt a patient-centred approach to make shared decisions on T2DM management.', 'Recommendation  6', 'Recognising poor adherence to diabetes medications in practice', 'Monitoring and follow-up')"""
+_HEALTIERSG_KEEP = """('Recent key changes:')"""
+_HEALTIERSG_HEADERS = """('Background ', 'Clinical Approach ')"""
+_NUMBERING_KEEP = """('Scope of the guidelines', 'Algorithm for the management of breastfeeding', 'Summary of recommendations', 'Levels of Evidence and Grades of Recommendation', 'Key references', 'Acknowledgements', 'STATEMENT OF INTENT', 'FOREWORD', 'CONTENTS')"""
 _SIGNS = lambda c: f"replace(replace({c}, '≥', 'more than or equals to'), '≤', 'less than or equals to')"
 _H = {
-    "ace": f"contains(Path, '/H1') AND Path <> '//Document/H1[9]/Figure' AND s NOT IN {_in(ACE.headers[0].text_not)}",
+    "ace": f"contains(Path, '/H1') AND Path <> '//Document/H1[9]/Figure' AND s NOT IN {_ACE_NO_HEADER}",
     "acg": "contains(Path, '/H1') AND s <> 'www.ace-hta.gov.sg'",
     "numbering": """(contains(Path, '/H') AND regexp_matches(Text, '^\\p{Nd}') AND Path NOT IN ('//Document/H1[8]', '//Document/H1[9]', '//Document/H1[10]', '//Document/Aside[4]/H1')
       OR NOT contains(Path, 'Span') AND regexp_matches(Text, '^\\p{Nd}+\\.\\p{Nd}'))""",
@@ -277,14 +319,14 @@ WITH latest AS (
     WHEN Text IS NULL AND regexp_matches(Path, '^//Document/Table(\\[[0-9]+\\])?$') THEN 'TABLE'
     WHEN Text IS NULL AND regexp_matches(Path, '^//Document/Figure(\\[[0-9]+\\])?$') THEN 'FIGURE'
     WHEN Text IS NULL THEN NULL
-    WHEN profile = 'ace' THEN CASE WHEN Path = '//Document/Title/Sub[2]' THEN 'TITLE' WHEN s IN {_in(ACE.keep)} THEN 'KEEP'
+    WHEN profile = 'ace' THEN CASE WHEN Path = '//Document/Title/Sub[2]' THEN 'TITLE' WHEN s IN {_ACE_KEEP} THEN 'KEEP'
       WHEN {_H['ace']} THEN CASE WHEN s = 'References' THEN 'STOP' ELSE 'HEADER' END ELSE 'TEXT' END
     WHEN profile = 'acg' THEN CASE WHEN Path = '//Document/Figure' THEN 'TITLE'
       WHEN {_H['acg']} THEN CASE WHEN s = 'References' THEN 'STOP' ELSE 'HEADER' END ELSE 'TEXT' END
-    WHEN profile = 'healtiersg' THEN CASE WHEN s IN {_in(HEALTIERSG.keep)} THEN 'KEEP'
+    WHEN profile = 'healtiersg' THEN CASE WHEN s IN {_HEALTIERSG_KEEP} THEN 'KEEP'
       WHEN contains(Path, '/H') AND contains(Text, '<') AND contains(Text, '>') OR starts_with(Text, '(<>)') THEN CASE WHEN s = '(<>)References' THEN 'STOP' ELSE 'HEADER' END
-      WHEN s IN {_in(HEALTIERSG.headers[2].text_is)} THEN 'HEADER' ELSE 'TEXT' END
-    WHEN profile = 'numbering' THEN CASE WHEN Path = '//Document/P[2]' THEN 'TITLE' WHEN s = 'References' THEN 'STOP' WHEN s IN {_in(NUMBERING.keep)} THEN 'KEEP'
+      WHEN s IN {_HEALTIERSG_HEADERS} THEN 'HEADER' ELSE 'TEXT' END
+    WHEN profile = 'numbering' THEN CASE WHEN Path = '//Document/P[2]' THEN 'TITLE' WHEN s = 'References' THEN 'STOP' WHEN s IN {_NUMBERING_KEEP} THEN 'KEEP'
       WHEN {_H['numbering']} THEN 'HEADER' ELSE 'TEXT' END
     ELSE CASE WHEN contains(Path, '/Title') THEN 'TITLE' WHEN {_H['generic']} THEN CASE WHEN s = 'References' THEN 'STOP' ELSE 'HEADER' END ELSE 'TEXT' END
   END AS cls,
@@ -305,6 +347,19 @@ WITH latest AS (
   FROM kept k LEFT JOIN texts x USING (doc_id, section_id) WHERE k.cls IN ('KEEP', 'HEADER')
 )
 """
+_HOUSE = f"""
+WITH named AS (
+  SELECT doc_id, pos, {_SIGNS('Path')} AS Path, {_SIGNS('Text')} AS Text, Page + 1 AS page, ObjectID FROM elements
+  QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY arrived_at DESC) = 1
+), classed AS (
+  SELECT *, CASE WHEN Text IS NULL THEN NULL WHEN contains(Path, '/Title') THEN 'TITLE'
+    WHEN regexp_replace(Text, '^{_SPACE}+|{_SPACE}+$', '', 'g') IN ('Key points', 'Patient education', 'Lifestyle advice') THEN 'KEEP'
+    WHEN contains(Path, '/H') THEN CASE WHEN regexp_replace(Text, '^{_SPACE}+|{_SPACE}+$', '', 'g') = 'References' THEN 'STOP' ELSE 'HEADER' END ELSE 'TEXT' END AS cls FROM named
+), numbered AS (
+  SELECT *, sum((cls IS NOT DISTINCT FROM 'STOP')::INT) OVER w AS stops, CAST(sum((coalesce(cls, '') IN ('KEEP', 'HEADER'))::INT) OVER w AS INTEGER) AS section_id
+  FROM classed WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), kept AS (SELECT * FROM numbered WHERE stops = 0)
+"""
 _INVENTORY = """
 WITH latest AS (
   SELECT * FROM elements QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY arrived_at DESC) = 1
@@ -345,6 +400,19 @@ ORACLE = {
     "media_elements": _ELEMENTS + "SELECT doc_id, lower(cls) AS kind, CASE cls WHEN 'TABLE' THEN table_id ELSE figure_id END AS media_id, Path, array_to_string(filePaths, ', ') AS files FROM kept WHERE cls IN ('TABLE', 'FIGURE')",
     "section_chunks": _ELEMENTS + "SELECT doc_id, section_id, section_name, text_chunk, coalesce(array_to_string(ids, ','), '') AS text_id, coalesce(array_to_string(pages, ','), '') AS pages FROM whole",
     "exception_chunks": _ELEMENTS + "SELECT doc_id, section_id, section_name, array_to_string(t, '') AS text FROM whole WHERE cls = 'KEEP' AND t IS NOT NULL",
+    "kept_sections": _HOUSE + "SELECT doc_id, section_id, Text AS section_name, page, ObjectID FROM kept WHERE cls = 'KEEP'",
+    "kept_chunks": _HOUSE
+    + """SELECT h.doc_id, h.section_id, h.Text AS section_name, string_agg(t.Text, '' ORDER BY t.pos) AS text
+FROM kept h JOIN kept t ON t.doc_id = h.doc_id AND t.section_id = h.section_id AND t.cls = 'TEXT' WHERE h.cls = 'KEEP' GROUP BY ALL""",
+    "final_checks": _ELEMENTS + "SELECT doc_id, section_id, length(text_chunk) > 3000 AS was_cut, CASE WHEN length(text_chunk) <= 3000 THEN text_chunk END AS text, true AS keeps_size, true AS lies_within FROM whole WHERE section_name IS NOT NULL",
+    "split_checks": "SELECT DISTINCT doc_id, chunk_no, length(text_chunk) > 3000 AS was_cut, CASE WHEN length(text_chunk) <= 3000 THEN text_chunk END AS text, true AS keeps_size, true AS lies_within FROM chunks_data WHERE text_chunk IS NOT NULL",
+    "qa_extract": f"""WITH said AS (
+  SELECT qa_id, coalesce(question, '') AS q, chr(10) || '**Answer:** ' || coalesce(answer, '') AS a FROM qa_rows
+), first AS (
+  SELECT qa_id, q, regexp_replace(a, chr(10) || '[*]{{0,2}}Question(.|' || chr(10) || ')*$', '') AS a FROM said
+)
+SELECT qa_id, regexp_replace(replace(q, '*', ''), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS question,
+  regexp_replace(replace(regexp_replace(a, '[*]{{0,2}}Answer[*]{{0,2}}:', '', 'g'), '*', ''), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS answer FROM first""",
     "section_sheet": _ELEMENTS
     + """, first AS (SELECT doc_id, arg_min(Text, pos) AS Title FROM kept WHERE is_title GROUP BY doc_id)
 SELECT doc_id, section_id, section_name, text_chunk, Title FROM whole LEFT JOIN first USING (doc_id) WHERE section_name IS NOT NULL""",
@@ -386,7 +454,8 @@ SELECT qa_id, round(sum(k::DOUBLE / i * v) / (sum(v) + 1e-10::DOUBLE), 6) AS con
     list_distinct(list_filter(regexp_split_to_array(lower(coalesce(contexts, '')), '[^a-z0-9]+'), lambda w: w <> '')) AS r FROM qa_rows
 ), counted AS (SELECT qa_id, len(list_intersect(a, r))::DOUBLE AS tp, len(a) AS na, len(r) AS nr FROM sets),
 f AS (SELECT qa_id, CASE WHEN tp > 0 THEN tp / (tp + 0.5::DOUBLE * (na - tp + nr - tp)) ELSE 0 END AS f1 FROM counted)
-SELECT qa_id, round(f1, 6) AS statement_f1, round(0.75::DOUBLE * f1 + 0.25::DOUBLE, 6) AS answer_correctness FROM f""",
+SELECT qa_id, round(f1, 6) AS statement_f1, round(0.75::DOUBLE * f1 + 0.25::DOUBLE * list_cosine_similarity([length(coalesce(contexts, ''))::DOUBLE, 100.0::DOUBLE], [length(coalesce(answer, ''))::DOUBLE, 100.0::DOUBLE]), 6) AS answer_correctness
+FROM f JOIN qa_rows USING (qa_id)""",
     "answer_similarity": "SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "answer_relevancy": """SELECT a.vec_id, round(CASE WHEN a.label = 0 THEN 0::DOUBLE
   ELSE (list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) + list_cosine_similarity(a.embedding::DOUBLE[], c.embedding::DOUBLE[])) / 2 END, 6) AS answer_relevancy

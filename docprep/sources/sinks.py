@@ -58,9 +58,9 @@ def write_files(files: DataFrame, path: str, name: str = "name", content: str =
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; quotes are doubled, line ends kept; arrays and structs as JSON."""
+    """CSV with a header; quotes are doubled, line ends and outer blanks kept; arrays and structs as JSON."""
     flat = rows.select(*(F.to_json(c).alias(c) if rows.schema[c].dataType.typeName() in ("array", "struct", "map") else F.col(c) for c in rows.columns))
-    flat.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True).csv(path)
+    flat.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_csv(spark, path: str, schema: str | None = None) -> DataFrame:

@@ -108,3 +108,35 @@ def test_rows_of_replies(spark):
     assert qa.flagged(qa.qa_rows(df)).count() == 0 and qa.scorable(qa.qa_rows(df)).count() == 3
     assert [r.row_no for r in qa.numbered_rows(qa.qa_rows(df), ["Title"], ["pair_no"]).collect()] == [1, 2, 3]
     assert [r.pair_no for r in qa.slice_rows(qa.qa_rows(df), ["pair_no"], 1, 3).collect()] == [1, 2]
+
+
+def test_names_of_any_length_and_repeated_summaries(spark):
+    sheet = spark.createDataFrame([("d", 1, "tables/fileoutpart12.xlsx, a.png", None), ("d", 2, "b", None), ("d", 3, None, None), (None, 4, "b", None)], "doc_id string, ord int, files string, summary string")
+    names = [("d", "fileoutpart1", 0, "in twelve"), ("d", "fileoutpart12", 1, "twelve"), ("d", "outpart2", 2, "no"), ("d", "a", 3, "short"), ("d", "a", 3, "short"), ("d", "", 4, "all"), ("d", None, 5, "none"), ("e", "b", 0, "other")]
+    right = spark.createDataFrame(names, "doc_id string, name string, ord int, summary string")
+    got = {r.ord: r.summary for r in M.merge_summaries(sheet, right, ("ord",), "name").collect()}
+    assert got == {1: "in twelve\ntwelve\nshort\nshort\nall", 2: "all", 3: None, 4: None}
+    assert M.merge_summaries(sheet.limit(0), right, ("ord",), "name").count() == 0
+
+
+def test_word_validity_with_a_large_vocabulary(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "The cat sat xyzzy"), (None, "the"), (2, "Cat " * 1000)], "id int, t string")
+    vocabulary = spark.createDataFrame([("the",), ("cat",), (None,), ("sat",)], "word string")
+    small = sorted(map(tuple, M.word_validity(texts, "id", "t", vocabulary).collect()), key=repr)
+    monkeypatch.setattr(M, "MOST_WORDS", 2)
+    assert sorted(map(tuple, M.word_validity(texts, "id", "t", vocabulary).collect()), key=repr) == small
+    assert M.word_validity(texts, "id", "t", vocabulary.limit(0)).where("n_valid > 0").count() == 0
+
+
+@pytest.mark.parametrize(
+    "reply,pairs",
+    [
+        ("Sure!\n**Question 1:** A?\n**Answer:** B\n\nQuestion 2: C?\nAnswer: D", [("A?", "B"), ("C?", "D")]),
+        ("**Question 1:** no answer\n**Question 2:** C?\n**Answer:** D", [("C?", "D")]),
+        ("Question 1: A?\nand more?\nAnswer: B\nAnswer: C", [("A?\nand more?", "B\n C")]),
+        ("**Question 1:** A?\n**Answer:**", [("A?", "")]),
+        ("Answer: B\nQuestion", []),
+    ],
+)
+def test_replies_are_cut_at_their_labels(spark, reply, pairs):
+    assert [tuple(x) for x in spark.createDataFrame([(reply,)], "t string").select(qa.qa_pairs(F.col("t"))).first()[0]] == pairs

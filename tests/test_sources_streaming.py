@@ -96,3 +96,48 @@ def test_arrivals_count_documents_exactly(spark):
     rows = spark.range(10_000).select((F.col("id") % 5000).cast("string").alias("doc_id"), F.lit("2024-05-01 10:00:00").cast("timestamp").alias("arrived_at"))
     exact, before = I.arrivals(rows).first(), rows.agg(F.approx_count_distinct("doc_id")).first()[0]
     assert (exact.n_elements, exact.n_documents) == (10_000, 5000) and before != 5000
+
+
+def test_buckets_hold_a_hot_document_in_parts(spark, tmp_path):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("doc_id"), "id").unionByName(spark.createDataFrame([(None, 1)], "doc_id string, id bigint"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one partition
+    try:
+        where = sinks.write_datasets({"x": df}, str(tmp_path / "sets"), buckets=4)["x"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(where)
+    assert sorted(map(repr, back.select("doc_id", "id").collect())) == sorted(map(repr, df.collect()))
+    assert back.where(F.col("bucket") != sinks.bucket_of(F.col("doc_id"), 4)).count() == 0 and back.select("bucket").distinct().count() == 4
+    assert len({r.f for r in back.where("doc_id = 'hot'").select(F.input_file_name().alias("f")).distinct().collect()}) > 1
+    assert sinks.write_datasets({"y": df.limit(0)}, str(tmp_path / "sets"))
+
+
+def test_files_are_written_whole(spark, tmp_path):
+    df = spark.createDataFrame([("a.txt", b"one"), ("b.txt", None), (None, b"x"), ("a.txt", b"one")], "name string, content binary")
+    assert sorted((r["name"], r.size) for r in sinks.write_files(df, str(tmp_path / "f")).collect()) == [("a.txt", 3), ("a.txt", 3), ("b.txt", 0)]
+    assert {p.name: p.read_bytes() for p in (tmp_path / "f").iterdir()} == {"a.txt": b"one", "b.txt": b""}
+
+
+def test_elements_are_written_line_by_line(spark, tmp_path):
+    rows = [("d", 5, "p", "b", 1, 2, None), ("d", 1, "p", 'a "q"\n', 0, 1, ["f"]), ("e", 0, None, None, None, None, None), (None, 1, "p", "x", 0, 1, None)]
+    df = spark.createDataFrame(rows, "doc_id string, pos int, Path string, Text string, Page int, ObjectID bigint, filePaths array<string>")
+    E.write_elements(df, str(tmp_path / "out"))
+    found = {p.parent.name: json.loads(p.read_text()) for p in (tmp_path / "out").rglob("*.txt")}
+    assert found == {"doc_id=d": {"elements": [{"Path": "p", "Text": 'a "q"\n', "Page": 0, "ObjectID": 1, "filePaths": ["f"]}, {"Path": "p", "Text": "b", "Page": 1, "ObjectID": 2}]}, "doc_id=e": {"elements": [{}]}}
+    assert {(r.doc_id, r.pos) for r in E.read_elements(spark, str(tmp_path / "out"), "*.txt").collect()} == {("d", 0), ("d", 1), ("e", 0)}
+
+
+def test_vocabulary(spark, tmp_path):
+    (tmp_path / "words.txt").write_text(" The\nthe\n\nNaïve\n")
+    assert {r.word for r in files.read_vocabulary(spark, str(tmp_path / "words.txt")).collect()} == {"the", "naïve"}
+
+
+def test_only_a_single_process_makes_its_own_folder():
+    from types import SimpleNamespace
+
+    from docprep.session import shared_dir
+
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(ValueError):
+            shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))

@@ -49,16 +49,21 @@ def media_inventory(elements: DataFrame) -> DataFrame:
     )
 
 
-#: Characters at the end of a file name that rows meet by.
-_TAIL = 8
+#: Characters at the end of a file name that rows meet by: the most that the name has.
+_TAILS = (8, 4, 2, 1, 0)
 
 
 def _tails(files: Column) -> Column:
-    """What the end of a name that is part of one of the files can be: all its pieces of _TAIL characters, and of less for shorter names."""
-    starts = lambda f, n: F.sequence(F.lit(1), F.length(f) - n + 1)
-    of = lambda f, n: F.when(F.length(f) >= n, F.transform(starts(f, n), lambda i: F.substring(f, i, F.lit(n))))
-    one = lambda f: F.flatten(F.filter(F.array(*(of(f, n) for n in range(1, _TAIL + 1))), lambda x: x.isNotNull()))
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(F.split(files, ", "), one))))
+    """What the end of a name that is part of one of the files can be: all pieces of these lengths."""
+    pieces = lambda f, n: F.when(F.length(f) >= n, F.transform(F.sequence(F.lit(1), F.length(f) - n + 1), lambda i: F.substring(f, i, F.lit(n))))
+    of = lambda f: F.flatten(F.filter(F.array(*(pieces(f, n) for n in _TAILS if n)), lambda x: x.isNotNull()))
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(F.split(files, ", "), of))))
+
+
+def _tail(name: Column) -> Column:
+    n = F.length(name)
+    length = F.coalesce(*(F.when(n >= k, F.lit(k)) for k in _TAILS))
+    return F.substring(name, n - length + 1, length)
 
 
 def _matching_summaries(sheet: DataFrame, summaries: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -70,7 +75,7 @@ def _matching_summaries(sheet: DataFrame, summaries: DataFrame, keys: list[str],
     one_of = F.exists(F.split("files", ", "), lambda f: f.contains(F.col("_name")))
     named = summaries.select(F.col("doc_id"), F.col(name).alias("_name"), F.col("ord").alias("_ord"), F.col("summary").alias("_summary"))
     named = named.groupBy("doc_id", "_name", "_ord", "_summary").agg(F.count("*").cast("int").alias("_times"))
-    ends = named.withColumn("_end", F.right("_name", F.lit(_TAIL)))
+    ends = named.withColumn("_end", _tail(F.col("_name")))
     pieces = sheet.select("doc_id", *keys, "files").distinct().withColumn("_end", F.explode(_tails(F.col("files"))))
     met = pieces.join(ends, ["doc_id", "_end"]).where(one_of)
     each = F.struct("_ord", "_name", "_summary", "_times")

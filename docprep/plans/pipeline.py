@@ -52,7 +52,7 @@ def chunk_documents(elements: DataFrame, guidelines: DataFrame | None = None, si
 
 def summarise_media(elements: DataFrame, table_summaries: DataFrame, image_summaries: DataFrame, match: str = "substring") -> tuple[DataFrame, DataFrame]:
     """(sheet, elements): the inventory of media with its summaries, and the elements with these written back."""
-    sheet = M.media_inventory(elements).withColumn("summary", F.lit(None).cast("string"))
+    sheet = cut(M.media_inventory(elements).withColumn("summary", F.lit(None).cast("string")))  # each merge reads it twice
     merged = M.fill_summaries(M.merge_summaries(sheet, table_summaries, ("object_id_file", "ord")), image_summaries, ("object_id_file", "ord"))
     return merged, M.write_back(elements, merged, match)
 

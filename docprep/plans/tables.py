@@ -151,7 +151,7 @@ def _summaries(elements: DataFrame, kind: str, name: str) -> DataFrame:
 
 def _sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     (elements,) = _tables(spark, sf_dir, "elements")
-    once = S.latest_delivery(elements)
+    once = cut(S.latest_delivery(elements))  # read by the inventory, the summaries and what is written back
     empty = M.media_inventory(once).withColumn("summary", F.lit(None).cast("string"))
     merged = M.merge_summaries(empty, _summaries(once, "tables", "file_name"), ("object_id_file", "ord"))
     return once, merged, M.fill_summaries(merged, _summaries(once, "figures", "image_name"), ("object_id_file", "ord"))

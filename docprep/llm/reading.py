@@ -185,10 +185,13 @@ def fit(texts: list[str], levels: list[float]) -> Model | None:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, id: str, text: str, level: str, most: int = MOST_LABELLED, longest: int = LONGEST_LABELLED) -> tuple[list[str], list[float]]:
-    """At most so many labelled texts, in the order of their ids' hashes, with the median of their levels; null levels don't count."""
+    """At most so many labelled texts, in the order of their ids' hashes, with the median of their levels.
+
+    Null levels don't count; texts that are null, empty or too long are left out before the others are counted.
+    """
     known = labels.where(F.col(level).isNotNull() & F.col(level).between(1, LEVELS)).groupBy(F.col(id).alias("i")).agg(F.median(level).alias("level"))
-    chosen = known.withColumn("h", F.xxhash64("i")).orderBy("h", "i").limit(most)
     texts = documents.select(F.col(id).alias("i"), F.col(text).alias("t")).where((F.length("t") > 0) & (F.length("t") <= longest))
+    chosen = known.join(texts.select("i"), "i", "left_semi").withColumn("h", F.xxhash64("i")).orderBy("h", "i").limit(most)
     rows = texts.join(F.broadcast(chosen), "i").dropDuplicates(["i"]).orderBy("h", "i").collect()
     return [r.t for r in rows], [float(r.level) for r in rows]
 

@@ -81,3 +81,32 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 3)]
     out = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect())
     assert out == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
+
+
+@pytest.mark.parametrize("weighting,unit,n", [("count", "word", 1), ("opening", "character", 3)])
+def test_weighted_links_equal_brute_force(spark, weighting, unit, n):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = []
+    for _ in range(60):
+        base = [rng.choice(vocabulary[:20]) if rng.random() < 0.7 else rng.choice(vocabulary) for _ in range(rng.randint(20, 80))]
+        rows += [base] + [edited(rng, vocabulary, base, rng.choice([0, 0.05, 0.15])) for _ in range(2)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+    def shares(t):
+        parts = t.split() if unit == "word" else [f" {t} "[k : k + n] for k in range(len(t) + 2 - n + 1)]
+        weight = {}
+        for k, p in enumerate(parts):
+            weight[p] = weight.get(p, 0) + 1 if weighting == "count" else weight.get(p, 2 ** (-k / 16))
+        total = sum(weight.values())
+        return {p: w / total for p, w in weight.items()}
+
+    def similarity(a, b):
+        common = sum(min(a[p], b[p]) for p in a.keys() & b.keys())
+        return common / (2 - common)
+
+    sets = {i: shares(t) for i, t in rows}
+    wanted = {(a, b) for a in sets for b in sets if a < b and similarity(sets[a], sets[b]) >= 0.6}
+    links, members = near_duplicates(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text"), n, 0.6, 1, weighting, unit)
+    found = {tuple(r) for r in member_pairs(links, members).collect()}
+    assert len(wanted) > 50 and found <= wanted and len(found) >= 0.99 * len(wanted)

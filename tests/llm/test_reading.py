@@ -66,7 +66,7 @@ def test_labelled_sample_is_bounded_and_skips_nulls(spark):
     docs = spark.createDataFrame([(i, f"text {i}" if i else None) for i in range(50)] + [(1, "text 1")], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, 1 + i % 5) for i in range(50)] + [(1, 4), (1, 4), (2, None), (3, 9)], "doc_id bigint, level int")
     texts, levels = R.labelled_sample(docs, labels, "doc_id", "text", "level", most=30)
-    assert len(texts) == len(levels) <= 30 and len(set(texts)) == len(texts)
+    assert len(texts) == len(levels) == 30 and len(set(texts)) == len(texts)
     everything = dict(zip(*R.labelled_sample(docs, labels, "doc_id", "text", "level")))
     assert len(everything) == 49 and everything["text 1"] == 4 and everything["text 3"] == 4
     assert R.fit([], []) is None and R.labelled_sample(docs, labels.limit(0), "doc_id", "text", "level") == ([], [])

@@ -53,6 +53,48 @@ def _folded(t: str) -> str:
 
 _P4_FORM = f"""replace(replace(array_to_string(list_transform(regexp_extract_all({_folded('bare')}, '\\p{{L}}+|\\P{{L}}+'),
   lambda w: CASE WHEN {_POSES} THEN translate(w, '{_ODD}', '{_PLAIN}') ELSE w END), ''), chr(57344), chr(8205)), chr(57345), chr(65039))"""
+#: Defects by lists instead of clusters and models: words of the languages and phrases of the refusals that occur in the
+#: tables, found by reading them. A refusal counts where its phrase, or its interjection, comes with another row too.
+_DEFECTS = r"""WITH said AS (
+  SELECT qa_id, coalesce(question, '') AS q, answer, coalesce(answer, '') AS a, coalesce(contexts, '') AS c,
+    trim(regexp_replace(coalesce(answer, ''), '\s+', ' ', 'g')) AS flat
+  FROM qa_rows
+), bare AS (
+  SELECT *, lower(trim(regexp_replace(regexp_replace(flat, '^([\W_]*(Answer|Response|Reply|A)\s*:[\W_]*)+', '', 'i'), '[^\p{L}\p{N}/]+', ' ', 'g'), ' /')) AS left_over,
+    list_filter(regexp_extract_all(lower(q), '[\p{L}\p{N}]+'), lambda w: true) AS qw, regexp_extract_all(lower(a), '[\p{L}\p{N}]+') AS aw
+  FROM said
+), asked AS (
+  SELECT *, list_zip(qw[:-2], qw[2:]) AS qp, list_zip(aw[:-2], aw[2:]) AS ap FROM bare
+), judged AS (
+  SELECT *, answer IS NULL OR NOT regexp_matches(left_over, '[\p{L}\p{N}]') OR left_over IN ('n/a','na','none','null','nan','nil','blank','tbd','tba','empty','undefined','no answer','missing','unknown','pending','todo') AS is_empty,
+    len(ap) >= 2 AND len(list_filter(ap, lambda p: list_contains(qp, p))) >= 0.75 * len(ap)
+      AND (NOT regexp_matches(a, '[?？]|["”],') OR len(list_filter(regexp_extract_all(lower(regexp_extract(a, '(?s).*(?:[?？]|["”],)(.*)$', 1)), '[\p{L}\p{N}]+'), lambda w: NOT list_contains(qw, w) AND w NOT IN ('answer', 'question'))) = 0) AS is_copy
+  FROM asked
+), tongue AS (
+  SELECT *, list_transform([q, a], lambda t: CASE WHEN length(regexp_replace(t, '[^\x{4e00}-\x{9fff}]', '', 'g')) >= 0.3 * length(regexp_replace(t, '[^\p{L}]', '', 'g')) AND regexp_matches(t, '[\x{4e00}-\x{9fff}]') THEN 'zh'
+     WHEN regexp_matches(lower(t), '\b(hari|bulan|dos|ubat|pesakit|minggu|kes|sehari|bagi)\b') THEN 'ms'
+     WHEN regexp_matches(lower(t), '\b(les|faut|quelle|jours|chez|avis|doit|environ|déconseillée|semaines)\b') THEN 'fr'
+     WHEN regexp_matches(lower(t), '\b(bei|mit|soll|wann|nach|welche|etwa|halten|darf|sind|der|unter)\b') THEN 'de'
+     WHEN regexp_matches(lower(t), '\b(debe|cuándo|dosis|más|casos|días|caso|función|qué|tras|semanas)\b') THEN 'es'
+     WHEN len(regexp_extract_all(t, '[A-Za-z]{2,}')) >= 2 THEN 'en' END) AS l FROM judged
+), ended AS (
+  SELECT *, regexp_matches(rtrim(flat, '*'), '(…|\.\.\.|\w-)$') AS marked,
+    list_transform([c, regexp_replace(rtrim(trim(a), '* '), '(\s*(…|\.\.\.)|-)$', '')], lambda t: list_filter(list_transform(string_split(regexp_replace(regexp_replace(
+      replace(replace(t, 'e.g. ', 'e.g.' || chr(57344)), 'i.e. ', 'i.e.' || chr(57344)), '([.!?])["”’)*\]»]* |([。！？])', '\1\2' || chr(10), 'g'), '[\r\n]+', chr(10), 'g'), chr(10)),
+      lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '')) AS cut FROM tongue
+), starts AS (
+  SELECT *, cut[1] AS s, regexp_replace(coalesce(cut[2][-1], ''), '^[*]*(Answer:|In short:|As stated,)[*]* *', '') AS last_one FROM ended
+), broke AS (
+  SELECT *, last_one <> '' AND len(list_filter(s, lambda x: starts_with(x, last_one) AND x <> last_one)) > 0 AND (marked OR NOT list_contains(s, last_one)) AS is_broken FROM starts
+), phrased AS (
+  SELECT *, CASE WHEN NOT (is_empty OR is_copy OR is_broken) AND l[1] IS NOT DISTINCT FROM coalesce(l[2], l[1]) THEN list_position(list_transform(['would go beyond my role', 'must decline to respond', 'nothing i was shown settles', 'lie outside this document', 'is better put to', 'not able to give medical',
+    'cannot answer this from', 'rather not guess', 'possible for me to say', 'no answer can be found', 'no such advice appears', 'information was not supplied', 'falls outside what i may', 'more context would be needed', 'passage is silent on',
+    'there is nothing here about', 'ask you to consult', 'instructions do not let me', 'does not cover this', 'says nothing on this point', 'have enough to go on', 'unable to help with questions'], lambda p: contains(lower(a), p)), true) END AS phrase,
+    regexp_extract(lower(flat), '^(as an assistant|regrettably|unfortunately|apologies|sorry -|hmm|i''m sorry)', 1) AS lead FROM broke
+), final AS (
+  SELECT qa_id, CASE WHEN is_empty THEN 'empty' WHEN is_copy THEN 'copy' WHEN l[1] <> l[2] THEN 'language' WHEN is_broken THEN 'truncated'
+    WHEN phrase > 0 AND (count(*) OVER (PARTITION BY phrase) > 1 OR lead <> '' AND count(*) OVER (PARTITION BY phrase > 0, lead) > 1) THEN 'refusal' END AS defect FROM phrased
+) SELECT qa_id, defect FROM final WHERE defect IS NOT NULL"""
 _SPACE = r"[\t\n\x0b\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ORACLE = {
     "p8_found": f"""WITH counted AS (
@@ -103,6 +145,7 @@ SELECT h.source, h.w AS target_share, h.k AS max_repeats, h.n AS available,
   SELECT *, CASE WHEN n_words > 0 THEN 4.71::DOUBLE * n_letters / n_words + 0.5::DOUBLE * n_words / greatest(1, n_ends) - 21.43::DOUBLE END AS g FROM counted
 )
 SELECT doc_id, n_words, n_letters, n_ends, CASE WHEN g < 8 THEN 'plain' WHEN g < 18 THEN 'standard' WHEN g >= 18 THEN 'expert' END AS band FROM graded""",
+    "p3_found": _DEFECTS,
     "p2_found": _QA_PAIRS + "SELECT qa_id_a, qa_id_b FROM pair",
     "p2_groups": _QA_PAIRS
     + """, node AS (

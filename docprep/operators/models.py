@@ -119,6 +119,12 @@ def embed(rows: DataFrame, text: str, output: str, embedder: Embedder) -> DataFr
     return _ask(rows, [text], output, T.ArrayType(T.DoubleType()), pa.list_(pa.float64()), lambda t: None if t is None else embedder.embed(t))
 
 
+def embed_each(rows: DataFrame, texts: str, output: str, embedder: Embedder) -> DataFrame:
+    """The rows with a vector for each text of an array; a null array has none, a null text a null vector."""
+    kind = T.ArrayType(T.ArrayType(T.DoubleType()))
+    return _ask(rows, [texts], output, kind, pa.list_(pa.list_(pa.float64())), lambda ts: None if ts is None else [None if t is None else embedder.embed(t) for t in ts])
+
+
 def read_images(files: DataFrame, ocr: OcrClient, vocabulary: set[str], threshold: float = 0.9, content: str = "content", output: str = "text") -> DataFrame:
     """The files with the text read from each image, turned by 90 degrees up to three times while it reads as gibberish.
 

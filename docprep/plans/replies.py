@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docprep.functions.json_repair import reply_objects, statement_verdicts
+from docprep.functions.json_repair import relevancy_items, reply_objects, statement_verdicts
 from docprep.operators import media as M
 from docprep.operators import metrics, models, qa
 from docprep.plans.pipeline import evaluate_qa, generate_qa
@@ -31,6 +31,11 @@ class LookUp:
             return json.dumps([{"statement_1": s, "reason": "looked up", "Attributed": str(int(s in context))} for s in answer.split(". ") if s])
         if prompt.startswith("Was the context"):
             return json.dumps({"reason": "looked up", "verdict": str(int(field("Answer", "None")[:20] in field("Context", "Answer")))})
+        if prompt.startswith("Compare"):
+            given, truth = ([s for s in field(*x).split(". ") if s] for x in (("Answer", "Ground truth"), ("Ground truth", "None")))
+            return "```json\n" + json.dumps({"TP": [s for s in given if s in truth], "FP": [s for s in given if s not in truth], "FN": [s for s in truth if s not in given]}) + "\n```"
+        if prompt.startswith("Write questions that the answer"):
+            return json.dumps({"questions": ["q", field("Answer", "Context")[:40]], "noncommittal": int(" not " in field("Answer", "Context"))})
         if prompt.startswith("Write questions"):
             section, source = field("Section", "Source"), field("Source", "None")
             return f"**Question 1:** What does {section} say?\n**Answer:** {source[:80]}\n\n**Question 2:** How does {section} end?\n**Answer:** {source[-80:]}"
@@ -39,6 +44,13 @@ class LookUp:
         raise ValueError("nothing to look up")
 
 
+class Lengths:
+    """A stand-in for an embedder: the vector of a text is its length and a constant."""
+
+    def embed(self, text: str) -> list[float]:
+        return [float(len(text)), 10.0]
+
+
 def _plain(c: str) -> Column:
     """The column in letters, digits, blanks and full stops, single-spaced: what a line of a prompt can hold."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), "[^A-Za-z0-9 .]", " "), " +", " "))
@@ -69,6 +81,21 @@ def asked_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.context_precision(replies).select("qa_id", _no_nan("context_precision"))
 
 
+def asked_correctness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer against its contexts as the truth, sentence by sentence and by vectors."""
+    asked = models.ask_about(_rows(spark, sf_dir).withColumn("ground_truth", F.col("contexts")), "correctness", LookUp())
+    vectors = models.embed(models.embed(asked, "answer", "answer_vector", Lengths()), "ground_truth", "truth_vector", Lengths())
+    return metrics.answer_correctness(vectors).select("qa_id", _no_nan("statement_f1"), _no_nan("answer_correctness"))
+
+
+def asked_relevancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions asked back from the answer, their vectors against that of the question; noncommittal answers score nothing."""
+    asked = models.ask_about(_rows(spark, sf_dir), "relevancy", LookUp())
+    questions = asked.withColumn("asked_back", F.transform(relevancy_items(F.col("reply")), lambda i: i["question"]))
+    vectors = models.embed(models.embed_each(questions, "asked_back", "generated_vectors", Lengths()), "question", "question_vector", Lengths())
+    return metrics.answer_relevancy(vectors).select("qa_id", (_no_nan("answer_relevancy") + F.lit(0.0)).alias("answer_relevancy"))
+
+
 def generated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = table(tune(spark), sf_dir, "chunks_data").withColumn("text_chunk", _plain("text_chunk")).withColumn("section_name", F.when(F.col("section_name").isNotNull(), _plain("section_name")))
     rows = generate_qa(chunks, LookUp())
@@ -119,7 +146,7 @@ def flagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa.flagged(qa.scorable(rows)).select("qa_id", "contexts")
 
 
-QUERIES = {q.__name__: q for q in (asked_faithfulness, asked_recall, asked_precision, generated_pairs, failed_replies, read_scans, reply_shapes, flagged_rows)}
+QUERIES = {q.__name__: q for q in (asked_faithfulness, asked_recall, asked_precision, asked_correctness, asked_relevancy, generated_pairs, failed_replies, read_scans, reply_shapes, flagged_rows)}
 
 
 def _sql_plain(c: str) -> str:
@@ -143,6 +170,18 @@ SELECT qa_id, CASE WHEN Flag_Source = 1 THEN NULL WHEN answer = '' THEN 0.0 WHEN
     generate_subscripts(list_filter(string_split(contexts, '. '), lambda p: p <> ''), 1) AS i FROM cut
 ), summed AS (SELECT *, sum(v) OVER (PARTITION BY qa_id ORDER BY i) AS k FROM each)
 SELECT qa_id, round(sum(k::DOUBLE / i * v) / (sum(v) + 1e-10::DOUBLE), 6) AS context_precision FROM summed GROUP BY qa_id""",
+    "asked_correctness": _SAID
+    + """, sides AS (
+  SELECT qa_id, s AS a, list_filter(string_split(contexts, '. '), lambda x: x <> '') AS t, length(answer)::DOUBLE AS la, length(contexts)::DOUBLE AS lt FROM cut
+), counted AS (
+  SELECT *, len(list_filter(a, lambda x: list_contains(t, x)))::DOUBLE AS tp, len(list_filter(a, lambda x: NOT list_contains(t, x))) AS fp, len(list_filter(t, lambda x: NOT list_contains(a, x))) AS fn FROM sides
+), f AS (SELECT *, CASE WHEN tp > 0 THEN tp / (tp + 0.5::DOUBLE * (fp + fn)) ELSE 0 END AS f1 FROM counted)
+SELECT qa_id, round(f1, 6) AS statement_f1, round(0.75::DOUBLE * f1 + 0.25::DOUBLE * list_cosine_similarity([la, 10.0::DOUBLE], [lt, 10.0::DOUBLE]), 6) AS answer_correctness FROM f""",
+    "asked_relevancy": f"""WITH said AS (
+  SELECT qa_id, {_sql_plain('question')} AS q, {_sql_plain('answer')} AS a FROM qa_rows
+)
+SELECT qa_id, round(CASE WHEN contains(a, ' not ') THEN 0::DOUBLE ELSE (list_cosine_similarity([length(q)::DOUBLE, 10.0::DOUBLE], [1.0::DOUBLE, 10.0::DOUBLE])
+  + list_cosine_similarity([length(q)::DOUBLE, 10.0::DOUBLE], [length(a[1:40])::DOUBLE, 10.0::DOUBLE])) / 2 END, 6) AS answer_relevancy FROM said""",
     "generated_pairs": f"""WITH written AS (
   SELECT doc_id, chunk_no, {_sql_plain('section_name')} AS s, {_sql_plain('text_chunk')} AS t FROM chunks_data WHERE section_name IS NOT NULL
 ), pair AS (

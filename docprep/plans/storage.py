@@ -69,6 +69,15 @@ def files_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("name", F.lit("listed").alias("how"), F.col("size").alias("of")).unionByName(found).unionByName(latest)
 
 
+def files_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the guidelines' files after those of one profile were deleted."""
+    names = table(tune(spark), sf_dir, "guidelines").select(F.concat(F.lower(F.trim("profile")), F.lit("_"), "doc_id").alias("name"), F.encode("doc_id", "utf-8").alias("content"))
+    folder = shared_path(spark, "files")
+    sinks.write_files(names, folder).count()
+    sinks.delete_files(files.list_files(spark, folder).where(files.named(F.col("name"), "ace_"))).count()
+    return files.list_files(spark, folder).select("name")
+
+
 def vocabulary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of titles, written one a line and read as a vocabulary."""
     folder = shared_path(spark, "words")
@@ -76,7 +85,7 @@ def vocabulary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_vocabulary(spark, folder)
 
 
-QUERIES = {q.__name__: q for q in (elements_read_back, folders_listed, datasets_read_back, csv_read_back, sheets_read_back, files_found, vocabulary_read)}
+QUERIES = {q.__name__: q for q in (elements_read_back, folders_listed, datasets_read_back, csv_read_back, sheets_read_back, files_found, files_deleted, vocabulary_read)}
 
 _LATEST = "(SELECT * FROM elements QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY arrived_at DESC) = 1)"
 ORACLE = {
@@ -88,5 +97,6 @@ ORACLE = {
 FROM (SELECT DISTINCT doc_id, chunk_no, section_name, CAST(len(text_id) AS INTEGER) AS texts FROM chunks_data WHERE doc_id IS NOT NULL)""",
     "files_found": """SELECT doc_id || '.txt' AS name, 'listed' AS how, coalesce(octet_length(encode(Title)), 0)::BIGINT AS of FROM guidelines
 UNION ALL SELECT min(doc_id) || '.txt', 'found', count(*) FROM guidelines UNION ALL SELECT 'any', 'latest', count(*) FROM guidelines""",
+    "files_deleted": "SELECT lower(trim(profile)) || '_' || doc_id AS name FROM guidelines WHERE profile IS NOT NULL AND lower(trim(profile)) <> 'ace'",
     "vocabulary_read": "SELECT DISTINCT lower(trim(w)) AS word FROM (SELECT unnest(string_split(Title, ' ')) AS w FROM guidelines) WHERE trim(w) <> ''",
 }

@@ -11,7 +11,7 @@ IMAGES = "*.{png,jpg,jpeg,gif,bmp,tif,tiff}"
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", content: bool = False) -> DataFrame:
-    """(path, folder, name, modified, size[, content]) of every file under the path; no page limit. The bytes are read only if asked for."""
+    """(path, folder, name, modified, size[, content]) of every file under the path that isn't empty; no page limit. The bytes are read only if asked for."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     parts = F.split("path", "/")
     columns = ["path", F.url_decode(F.element_at(parts, -2)).alias("folder"), F.url_decode(F.element_at(parts, -1)).alias("name"), F.col("modificationTime").alias("modified"), F.col("length").alias("size")]

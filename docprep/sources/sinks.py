@@ -57,6 +57,26 @@ def write_files(files: DataFrame, path: str, name: str = "name", content: str =
     return files.select(F.col(name).cast("string").alias("name"), F.col(content).cast("binary").alias("content")).where("name is not null").mapInArrow(run, "name string, size bigint")
 
 
+def delete_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """(path, deleted) of the files, deleted by workers when it is read; one that isn't there is no error, a null path is left out.
+
+    Files are named by their whole path, so none of the same name elsewhere is touched.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gone = []
+            for at in batch.column(0).to_pylist():
+                fs, where = pafs.FileSystem.from_uri(at) if "://" in at or at.startswith("file:") else (pafs.LocalFileSystem(), at)
+                there = fs.get_file_info(where).is_file
+                if there:
+                    fs.delete_file(where)
+                gone.append(there)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.bool_())], names=["path", "deleted"])
+
+    return files.select(F.col(path).cast("string").alias("path")).where("path is not null").distinct().mapInArrow(run, "path string, deleted boolean")
+
+
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; quotes are doubled, line ends and outer blanks kept; arrays and structs as JSON."""
     flat = rows.select(*(F.to_json(c).alias(c) if rows.schema[c].dataType.typeName() in ("array", "struct", "map") else F.col(c) for c in rows.columns))

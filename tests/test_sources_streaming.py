@@ -116,6 +116,9 @@ def test_files_are_written_whole(spark, tmp_path):
     df = spark.createDataFrame([("a.txt", b"one"), ("b.txt", None), (None, b"x"), ("a.txt", b"one")], "name string, content binary")
     assert sorted((r["name"], r.size) for r in sinks.write_files(df, str(tmp_path / "f")).collect()) == [("a.txt", 3), ("a.txt", 3), ("b.txt", 0)]
     assert {p.name: p.read_bytes() for p in (tmp_path / "f").iterdir()} == {"a.txt": b"one", "b.txt": b""}
+    gone = spark.createDataFrame([(str(tmp_path / "f" / n),) for n in ("a.txt", "a.txt", "c.txt")] + [(None,)], "path string")
+    assert sorted(r.deleted for r in sinks.delete_files(gone).collect()) == [False, True]
+    assert [p.name for p in (tmp_path / "f").iterdir()] == ["b.txt"]
 
 
 def test_elements_are_written_line_by_line(spark, tmp_path):

@@ -88,7 +88,14 @@ class LookAlikes:
 
     @property
     def letters(self) -> str:
-        return "".join(map(chr, sorted(self.posing | self.near)))
+        """The letters as the inside of a character class; runs of them as ranges, which match faster."""
+        runs: list[list[int]] = []
+        for c in sorted(self.posing | self.near):
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+        return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in runs)
 
     @property
     def suspect_pattern(self) -> str:

@@ -129,13 +129,19 @@ class LookAlikes:
     def _poser(self) -> re.Pattern:
         return re.compile(f"[{self.letters}]")
 
+    @cached_property
+    def _both(self) -> dict[int, str]:
+        return self.posing | self.near
+
     def _unmasked(self, word: str) -> str:
         """A word without posing letters, if all its letters are Latin or pose as such; a lone Greek letter stays."""
         if len(word) == 1 and _GREEK.match(word):
             return word
-        latin = [bool(_LATIN.match(c)) and ord(c) not in self.posing and ord(c) not in self.near for c in word]
-        known = self.posing | self.near if any(latin) else self.posing
-        return word.translate(known) if all(a or ord(c) in known for a, c in zip(latin, word)) else word
+        others = [c for c in word if ord(c) not in self._both]
+        if not all(map(_LATIN.match, others)):
+            return word
+        # near letters pose beside Latin ones only
+        return word.translate(self._both) if others or all(ord(c) in self.posing for c in word) else word
 
     def _unmask(self, text: str) -> str:
         """The text with each posing word in Latin letters. Only words around a letter that can pose are looked at."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docprep.functions.splitter import OVERLAP, SIZE, split_column
+from docprep.session import never_sent
 
 
 def joined_text(texts: Column) -> Column:
@@ -22,7 +23,7 @@ def section_texts(texts: DataFrame, sections: DataFrame) -> DataFrame:
     body = texts.where("section_id > 0").groupBy("doc_id", "section_id")
     grouped = body.agg(F.array_sort(F.collect_list(F.struct("text_id", "Text"))).alias("t"), F.array_sort(F.collect_set("page")).alias("pages"))
     found = grouped.select("doc_id", "section_id", joined_text(F.col("t.Text")).alias("text_chunk"), F.col("t.text_id").alias("text_id"), "pages")
-    joined = sections.select("doc_id", "section_id", "section_name").join(found, ["doc_id", "section_id"], "left")
+    joined = sections.select("doc_id", "section_id", "section_name").join(never_sent(found), ["doc_id", "section_id"], "left")
     none = F.array().cast("array<int>")
     return joined.select("doc_id", "section_id", "section_name", F.coalesce("text_chunk", F.lit("")).alias("text_chunk"), F.coalesce("text_id", none).alias("text_id"), F.coalesce("pages", none).alias("pages"))
 
@@ -37,7 +38,7 @@ def exception_chunks(texts: DataFrame, sections: DataFrame) -> DataFrame:
     """(doc_id, section_id, section_name, text): the text of exception sections, put together without separator; none without text."""
     marked = sections.where("is_exception").select("doc_id", "section_id", "section_name")
     grouped = texts.groupBy("doc_id", "section_id").agg(F.array_sort(F.collect_list(F.struct("text_id", "Text"))).alias("t"))
-    return marked.join(grouped, ["doc_id", "section_id"]).select("doc_id", "section_id", "section_name", F.array_join("t.Text", "").alias("text"))
+    return marked.join(never_sent(grouped), ["doc_id", "section_id"]).select("doc_id", "section_id", "section_name", F.array_join("t.Text", "").alias("text"))
 
 
 def chunk_sheet(chunks: DataFrame, titles: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docprep.functions.text import row_prose, split_words
+from docprep.session import never_sent
 
 #: What a summary says when its model failed or gave nothing.
 ERROR_SUMMARY = "Error generating summary."
@@ -35,7 +36,7 @@ def media_inventory(elements: DataFrame) -> DataFrame:
     written = elements.where(F.col("Text").isNotNull()).select("doc_id", "pos", "Path", "Text", "ObjectID", F.explode(_ancestors(F.col("Path"))).alias("general_path"))
     paths = roots.select("doc_id", "general_path").distinct()
     under = written.join(paths, ["doc_id", "general_path"]).groupBy("doc_id", "general_path").agg(F.array_sort(F.collect_list(F.struct("pos", "Path", "Text", "ObjectID"))).alias("t"))
-    joined = roots.join(under, ["doc_id", "general_path"], "left")
+    joined = roots.join(never_sent(under), ["doc_id", "general_path"], "left")
     text, number = F.array().cast("array<string>"), F.array().cast("array<bigint>")
     return joined.select(
         "doc_id",
@@ -89,7 +90,7 @@ def merge_summaries(sheet: DataFrame, summaries: DataFrame, keys: tuple[str, ...
     Both have doc_id; sheet has files and summary, summaries has a name, ord and summary. Null summaries add nothing.
     """
     found = _matching_summaries(sheet, summaries.where(F.col("summary").isNotNull()), list(keys), name)
-    joined = sheet.join(found, ["doc_id", *keys], "left")
+    joined = sheet.join(never_sent(found), ["doc_id", *keys], "left")
     lines = F.concat(F.when(F.col("summary").isNotNull(), F.array("summary")).otherwise(F.array().cast("array<string>")), F.coalesce(F.col("found._summary"), F.array().cast("array<string>")))
     return joined.withColumn("summary", F.when(F.size(lines) > 0, F.array_join(lines, "\n"))).drop("found")
 
@@ -97,7 +98,7 @@ def merge_summaries(sheet: DataFrame, summaries: DataFrame, keys: tuple[str, ...
 def fill_summaries(sheet: DataFrame, summaries: DataFrame, keys: tuple[str, ...] = ("ord",), name: str = "image_name") -> DataFrame:
     """As merge_summaries, for rows whose summary is null or the error text only: they take summaries as long as that holds."""
     found = _matching_summaries(sheet, summaries.where(F.col("summary").isNotNull()), list(keys), name)
-    joined = sheet.join(found, ["doc_id", *keys], "left")
+    joined = sheet.join(never_sent(found), ["doc_id", *keys], "left")
     old = F.when(F.col("summary").isNotNull(), F.array("summary")).otherwise(F.array().cast("array<string>"))
     seq = F.concat(old, F.coalesce(F.col("found._summary"), F.array().cast("array<string>")))
     taken = F.when(F.size(seq) == 0, F.lit(None)).when(seq[0] != ERROR_SUMMARY, seq[0]).otherwise(F.array_join(F.slice(seq, 1, 2), "\n"))

@@ -43,6 +43,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def never_sent(df: DataFrame) -> DataFrame:
+    """For a side of a join whose rows hold arrays or long texts: Spark counts these as a few bytes, so it would send them to every task unchecked."""
+    return df.hint("merge")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table written by an operator."""
     return f"{shared_dir(spark).rstrip('/')}/docprep-{name}-{uuid.uuid4().hex}"

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docprep.session import cut
+from docprep.session import cut, never_sent
 
 #: The ranges of letters that confusables are looked for in, phonetic notation but no orthography of Latin letters among them.
 _LETTER_RANGES = ((0x250, 0x2B0), (0x370, 0x1100), (0x1200, 0x1E00), (0x1F00, 0x2000), (0x2C80, 0x3000), (0xA4D0, 0xA700), (0xA720, 0xAC00), (0x10000, 0x12000), (0x16800, 0x17000))
@@ -223,6 +223,6 @@ def consistent_form(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
         """,
         mapped=mapped,
     ).select("form", F.explode("members").alias("m"))
-    odd = mapped.select(*ids, "is_case", "m").join(classes, "m").select(*ids, "form", "is_case")
+    odd = mapped.select(*ids, "is_case", "m").join(never_sent(classes), "m").select(*ids, "form", "is_case")
     plain = named.where(~suspect).select(*ids, F.col("t").alias("form"), F.lit(False).alias("is_case"))
     return plain.unionByName(odd).select(*(F.col(f"k{i}").alias(k) for i, k in enumerate(keys)), "form", "is_case")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docprep.llm.components import components
 from docprep.llm.sketch import band_keys, banding, character_shingles, prob_minhash, shingles, weighted_jaccard, weights
-from docprep.session import cut
+from docprep.session import cut, never_sent
 
 _SKETCH = "id bigint, class_key binary, n int, bands array<bigint>"
 _SETS = "id bigint, n int, shingles array<bigint>, weight array<double>"
@@ -72,8 +72,8 @@ def shingle_sets(records: DataFrame, id: str, text: Column, words: int, weightin
 
 def verified(pairs: DataFrame, sets_a: DataFrame, sets_b: DataFrame, threshold: float, weighting: str) -> DataFrame:
     """(a, b, similarity) of the pairs (a, b) whose sets are similar enough; a is looked up in the one table of sets, b in the other."""
-    with_a = pairs.join(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"), F.col("weight").alias("wa")), "a")
-    both = with_a.join(sets_b.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"), F.col("weight").alias("wb")), "b")
+    with_a = pairs.join(never_sent(sets_a.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"), F.col("weight").alias("wa"))), "a")
+    both = with_a.join(never_sent(sets_b.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"), F.col("weight").alias("wb"))), "b")
     if weighting == "distinct":
         shared = F.size(F.array_intersect("sa", "sb"))
         counted = both.where(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b", shared.alias("common"), (F.col("na") + F.col("nb") - shared).alias("either"))
@@ -90,7 +90,7 @@ def verified(pairs: DataFrame, sets_a: DataFrame, sets_b: DataFrame, threshold:
 
 def meeting(one: DataFrame, two: DataFrame, where: str = "true") -> DataFrame:
     """(a, b) that meet in two buckets at least; the one has (a, key), the other (b, key)."""
-    return one.join(two, "key").where(where).groupBy("a", "b").agg(F.count("*").alias("k")).where("k >= 2").select("a", "b")
+    return one.join(never_sent(two), "key").where(where).groupBy("a", "b").agg(F.count("*").alias("k")).where("k >= 2").select("a", "b")
 
 
 def near_duplicates(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docprep.session import cut
+from docprep.session import cut, never_sent
 
 _GAP = re.compile(r"\s+(?=\S)|[。！？；](?=\S)|[，、](?=\S)")
 _SENTENCE_END = re.compile(r"[.!?。！？][\"'”’)\]]*$")
@@ -137,7 +137,7 @@ def split_texts(rows: DataFrame, text: str, keys: list[str], carry: tuple[str, .
     table = _boundary_table(windows.select("row", "range_no", "base", "n", "t").repartition("row", "range_no"), limit, overlap, blocks)
     upto = Window.partitionBy("row").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     stitched = table.withColumn("before", F.coalesce(F.sum(F.size("starts")).over(upto), F.lit(0)))
-    joined = windows.select(*plain, "row", "range_no", "base", "t").join(stitched, ["row", "range_no"])
+    joined = windows.select(*plain, "row", "range_no", "base", "t").join(never_sent(stitched), ["row", "range_no"])
 
     def piece(x: Column, i: Column) -> Column:
         begin = (x["starts"] - F.col("base")).cast("int")

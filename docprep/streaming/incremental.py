@@ -40,8 +40,11 @@ def deduplicated(stream: DataFrame, delay: str = "30 days") -> DataFrame:
 def arrivals(stream: DataFrame, window: str = "1 day", delay: str = "30 days") -> DataFrame:
     """Elements and documents by day of arrival; late rows count until the delay is over.
 
-    Documents are counted exactly: the state of a day holds the ids of its documents.
+    Documents are counted exactly: a row for each document's first arrival of a day is added to the elements' rows. The
+    state has an entry for each document of a day, spread over all tasks, never a day's documents in one place.
     """
-    seen = stream.withWatermark("arrived_at", delay).groupBy(F.window("arrived_at", window).alias("w"))
-    counted = seen.agg(F.count("*").alias("n_elements"), F.size(F.collect_set("doc_id")).alias("n_documents"))
+    seen = stream.withWatermark("arrived_at", delay).select("doc_id", F.window("arrived_at", window).alias("w"))
+    first = seen.where("doc_id is not null").dropDuplicates(["doc_id", "w"])
+    each = seen.select("w", F.lit(1).alias("e"), F.lit(0).alias("d")).unionByName(first.select("w", F.lit(0).alias("e"), F.lit(1).alias("d")))
+    counted = each.groupBy("w").agg(F.sum("e").alias("n_elements"), F.sum("d").alias("n_documents"))
     return counted.select(F.col("w.start").alias("from"), "n_elements", "n_documents")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from docprep.llm.components import components
 from docprep.llm.language import Languages, fit
-from docprep.llm.neardup import shingle_sets, sketch, verified
+from docprep.llm.neardup import sketch
+from docprep.llm.sketch import character_shingles, paired_jaccard
 from docprep.session import cut, never_sent
 
 _WORD = re.compile(r"\w+")
@@ -232,31 +233,64 @@ def unlike(prompts: DataFrame, one: str, two: str, least: float = 0.7) -> DataFr
     return prompts.where(F.size(F.array_intersect(a, b)) < least * F.size(F.array_union(a, b)))
 
 
+def bucketed(templates: DataFrame, similarity: float) -> DataFrame:
+    """(id, key): the buckets in which templates (id, template) meet."""
+    return cut(sketch(templates, "id", F.col("template"), RUN, similarity, 1, "opening", "character").select("id", F.explode("bands").alias("key")))
+
+
+def alike(pairs: DataFrame, one: DataFrame, two: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of the pairs (a, b) whose templates (id, template), a's in one and b's in two, are similar enough.
+
+    Texts travel with the pairs, as they are much smaller than their shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.chunked_array([batch.column(2), batch.column(3)]).combine_chunks().dictionary_encode()
+            at = texts.indices.to_numpy()
+            sets = character_shingles(texts.dictionary.to_pylist(), RUN)
+            found = paired_jaccard(sets, "opening", len(texts.dictionary), at[: batch.num_rows], at[batch.num_rows :])
+            yield batch.select([0, 1]).filter(pa.array(found >= similarity))
+
+    texts = [t.select(F.col("id").alias(x), F.col("template").alias(f"text_{x}")) for t, x in ((one, "a"), (two, "b"))]
+    both = pairs.join(never_sent(texts[0]), "a").join(never_sent(texts[1]), "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def clusters(templates: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(id, group_id): templates (id, template) linked by verified MinHash over their characters.
 
-    A bucket's members are each compared with its least one, not with each other, so a template with many variants
-    costs no pairs among them. Two variants that aren't compared meet through others, as each is in many buckets.
+    A bucket's members are first compared with its least one, which groups most variants of a template without pairing
+    them. Then all members of a bucket that are still in different groups are compared with each other, so the groups
+    are those of all similar pairs that meet.
     """
-    keys = cut(sketch(templates, "id", F.col("template"), RUN, similarity, 1, "opening", "character").select("id", F.explode("bands").alias("key")))
+    keys = bucketed(templates, similarity)
     least = keys.groupBy("key").agg(F.min("id").alias("a"))
-    pairs = keys.join(never_sent(least), "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    sets = shingle_sets(templates, "id", F.col("template"), RUN, "opening", "character")
-    found = components(verified(pairs, sets, sets, similarity, "opening"), "a", "b")
-    return templates.select("id").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("group_id"))
+    first = keys.join(never_sent(least), "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    found = components(alike(first, templates, templates, similarity), "a", "b").toDF("id", "component")
+    placed = cut(keys.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("group_id")))
+    groups = placed.select("key", "group_id").distinct()
+    across = groups.toDF("key", "g").join(groups.toDF("key", "h"), "key").where("g < h")
+    rest = across.join(placed.toDF("key", "a", "g"), ["key", "g"]).join(placed.toDF("key", "b", "h"), ["key", "h"]).select("a", "b").distinct()
+    links = placed.select(F.col("group_id").alias("a"), F.col("id").alias("b")).distinct().unionByName(alike(rest, templates, templates, similarity))
+    found = components(links, "a", "b").toDF("id", "component")
+    return templates.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("group_id"))
 
 
 def backed_by(suspects: DataFrame, others: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(group_id, id), distinct: the templates of others (id, template) that are similar to one of suspects (id, template, group_id).
 
-    In a bucket one member of each group is compared with the others, as in clusters.
+    In a bucket one member of each group is first compared with the others, then all members are compared with those
+    that no comparison has tied to the group.
     """
     of = suspects.select(F.col("id").alias("a"), "group_id")
-    keys = [sketch(t, "id", F.col("template"), RUN, similarity, 1, "opening", "character").select("id", F.explode("bands").alias("key")) for t in (suspects, others)]
-    least = keys[0].withColumnRenamed("id", "a").join(of, "a").groupBy("key", "group_id").agg(F.min("a").alias("a"))
-    pairs = keys[1].withColumnRenamed("id", "b").join(never_sent(least), "key").select("a", "b").distinct()
-    alike = verified(pairs, *(shingle_sets(t, "id", F.col("template"), RUN, "opening", "character") for t in (suspects, others)), similarity, "opening")
-    return alike.join(of, "a").select("group_id", F.col("b").alias("id")).distinct()
+    one, two = bucketed(suspects, similarity).toDF("a", "key").join(of, "a").select("key", "group_id", "a"), bucketed(others, similarity).toDF("b", "key")
+    tied = lambda pairs: alike(pairs.distinct(), suspects, others, similarity).join(of, "a").select("group_id", "b").distinct()
+    least = one.groupBy("key", "group_id").agg(F.min("a").alias("a"))
+    known = cut(tied(two.join(never_sent(least), "key").select("a", "b")))
+    open = two.join(never_sent(least.select("key", "group_id")), "key").join(known, ["group_id", "b"], "left_anti")
+    rest = tied(open.join(never_sent(one), ["key", "group_id"]).select("a", "b"))
+    return known.unionByName(rest).withColumnRenamed("b", "id")
 
 
 def openings(checked: DataFrame) -> DataFrame:

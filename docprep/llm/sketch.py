@@ -104,6 +104,30 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
     return float(common / (2 - common))
 
 
+def paired_jaccard(sets: Shingles, kind: str, n_texts: int, a: np.ndarray, b: np.ndarray, most: int = 1_000_000) -> np.ndarray:
+    """weighted_jaccard of each pair (a, b) of the texts that the shingles come from; about so many shingles are looked up at once."""
+    owner, h, count, first = sets
+    weight = weights(kind, count, first)
+    share = weight / np.bincount(owner, weight, n_texts)[owner]
+    size = np.bincount(owner, minlength=n_texts)
+    start = np.cumsum(size) - size
+    told, code = np.unique(h, return_inverse=True)
+    place = owner * len(told) + code  # ascends, as shingles are ordered by text and hash
+    ends = np.cumsum(size[a])
+    common = np.zeros(len(a))
+    at = 0
+    while at < len(a):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - size[a[at]] + most, "right")))
+        n = size[a[at:to]]
+        pair = np.repeat(np.arange(to - at), n)
+        x = np.arange(len(pair)) + np.repeat(start[a[at:to]] - (np.cumsum(n) - n), n)
+        wanted = b[at:to][pair] * len(told) + code[x]
+        y = np.minimum(np.searchsorted(place, wanted), len(place) - 1)
+        common[at:to] = np.bincount(pair, np.where(place[y] == wanted, np.minimum(share[x], share[y]), 0.0), to - at)
+        at = to
+    return common / (2 - common)
+
+
 _WIDE = re.compile("([\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\U00020000-\U0003ffff])")
 _END = 10
 

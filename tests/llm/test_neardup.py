@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docprep.llm.components import components
 from docprep.llm.neardup import member_pairs, near_duplicate_groups, near_duplicates
-from docprep.llm.sketch import banding, prob_minhash, shingles, words
+from docprep.llm.sketch import banding, character_shingles, paired_jaccard, prob_minhash, shingles, weighted_jaccard, weights, words
 
 
 def edited(rng, vocabulary, base, rate):
@@ -110,3 +110,14 @@ def test_weighted_links_equal_brute_force(spark, weighting, unit, n):
     links, members = near_duplicates(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text"), n, 0.6, 1, weighting, unit)
     found = {tuple(r) for r in member_pairs(links, members).collect()}
     assert len(wanted) > 50 and found <= wanted and len(found) >= 0.99 * len(wanted)
+
+
+@pytest.mark.parametrize("most", [1, 50, 1_000_000])
+def test_similarities_of_many_pairs_equal_those_of_each(most):
+    texts = ["", "ab", "the passage is silent on gout", "silent on gout the passage is", "对不起我无法回答这个问题", "对不起我无法回复这个问题", "aaaa " * 200]
+    owner, h, count, first = sets = character_shingles(texts, 3)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(1, len(texts)), np.arange(1, len(texts))))
+    weight = weights("opening", count, first)
+    wanted = [weighted_jaccard(h[owner == x], weight[owner == x], h[owner == y], weight[owner == y]) for x, y in zip(a, b)]
+    assert np.allclose(paired_jaccard(sets, "opening", len(texts), a, b, most), wanted)
+    assert len(paired_jaccard(character_shingles([], 3), "opening", 0, a[:0], b[:0], most)) == 0

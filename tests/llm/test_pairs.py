@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from docprep.llm.language import fit, labelled_texts
-from docprep.llm.pairs import broken_pairs, clusters, is_copy, is_empty, is_truncated
+from docprep.llm.pairs import backed_by, broken_pairs, clusters, is_copy, is_empty, is_truncated
 
 CONTEXT = "Start daxripril at 41.5 mg daily in adults with gout. Avoid it (e.g. in children), because calcium may rise.\n\nReasons include:\na) low folate with itching\nb) chest pain lasting more than 3 days\n\nGive it for 28 weeks and stop."
 
@@ -152,3 +152,37 @@ def test_variants_of_a_template_are_one_cluster(spark):
     assert len(out) == 2000 and all(r.group_id % 4 == r.id % 4 for r in out)
     sizes = [max(c for c in Counter(r.group_id for r in out if r.id % 4 == k).values()) for k in range(4)]
     assert min(sizes) >= 495
+
+
+def test_every_similar_pair_is_linked(spark):
+    rng = random.Random(1)
+    vocabulary = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 6))) for _ in range(15)]
+    bases = [[rng.choice(vocabulary) for _ in range(6)] for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(vocabulary) if rng.random() < 0.3 else w for w in rng.choice(bases))) for i in range(400)]
+
+    def shares(t):
+        weight = {}
+        for k in range(len(t)):
+            weight.setdefault(f" {t} "[k : k + 3], 2 ** (-k / 16))
+        total = sum(weight.values())
+        return {p: w / total for p, w in weight.items()}
+
+    def similar(a, b):
+        common = sum(min(a[p], b[p]) for p in a.keys() & b.keys())
+        return common >= 0.45 * (2 - common)
+
+    def grouped(ids):
+        group = {i: i for i in ids}
+        for a, b in links:
+            if a in group and b in group and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+        return group
+
+    sets = [shares(t) for _, t in rows]
+    links = [(a, b) for a in range(400) for b in range(a + 1, 400) if similar(sets[a], sets[b])]
+    assert {r.id: r.group_id for r in clusters(spark.createDataFrame(rows, "id bigint, template string")).collect()} == grouped(range(400))
+    group = grouped(range(200))
+    suspects = spark.createDataFrame([(*r, group[r[0]]) for r in rows[:200]], "id bigint, template string, group_id bigint")
+    found = [tuple(r) for r in backed_by(suspects, spark.createDataFrame(rows[200:], "id bigint, template string")).collect()]
+    assert sorted(found) == sorted({(group[a], b) for a, b in links if a < 200 <= b})
